@@ -9,17 +9,17 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.ordered import exact_quantiles
+from larder.operators.ordered import quantile_values
 
 
-def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with the exact median of every column (NULL for an empty one)."""
-    q = exact_quantiles(df, cols, [0.5])
-    return q.agg(*[F.max(F.when(F.col("column") == c, F.col("q")[0])).alias(c) for c in cols])
+def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
+    """Exact median of every column, None for an empty one."""
+    got = quantile_values(df, cols, [0.5])
+    return {c: got[c][0] if c in got else None for c in cols}
 
 
-def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row with the most frequent value of every text column, the smallest on ties.
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str | None]:
+    """Most frequent value of every text column, the smallest on ties.
 
     Counts per value combine before the shuffle; the last step sees one row per distinct value.
     """
@@ -27,42 +27,40 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     counts = tall.filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     peak = counts.groupBy("column").agg(F.max("n").alias("n"))
     best = counts.join(peak, ["column", "n"], "left_semi").groupBy("column").agg(F.min("value").alias("value"))
-    return best.agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in cols])
+    return dict.fromkeys(cols) | {r["column"]: r["value"] for r in best.collect()}
 
 
-def numeric_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """One row: median, and mean and population deviation after imputation, for every column."""
-    middle = medians(df, cols).select(F.struct(*cols)).scalar()
-    filled = {c: F.coalesce(F.col(c).cast("double"), middle.getField(c)) for c in cols}
+def numeric_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, float | None]]:
+    """Median, and mean and population deviation after imputation, of every column: two passes in all."""
+    middle = medians(df, cols)
     aggs = []
     for c in cols:
-        aggs += [F.first(middle.getField(c)).alias(f"{c}_median"), F.avg(filled[c]).alias(f"{c}_mean"),
-                 F.stddev_pop(filled[c]).alias(f"{c}_std")]
-    return df.agg(*aggs)
+        x = F.coalesce(F.col(c).cast("double"), F.lit(middle[c]).cast("double"))
+        aggs += [F.avg(x).alias(f"{c}_mean"), F.stddev_pop(x).alias(f"{c}_std")]
+    got = df.agg(*aggs).first()
+    return {c: {"median": middle[c], "mean": got[f"{c}_mean"], "std": got[f"{c}_std"]} for c in cols}
 
 
-def numeric_features(df: DataFrame, cols: Sequence[str], scale: bool = True, stats: DataFrame | None = None) -> DataFrame:
+def numeric_features(
+    df: DataFrame, cols: Sequence[str], scale: bool = True, stats: dict[str, dict] | None = None
+) -> DataFrame:
     """Columns imputed by the median and standardised (a constant column becomes 0).
 
-    The fitted row comes in as one scalar subquery; pass ``stats`` of the training rows to apply it to
-    other rows.
+    ``stats`` of the training rows apply the same fit to other rows.
     """
-    stats = numeric_stats(df, cols) if stats is None else stats
-    fit = stats.select(F.struct(*stats.columns)).scalar()
+    stats = stats or numeric_stats(df, cols)
     out: dict[str, Column] = {}
     for c in cols:
-        x = F.coalesce(F.col(c).cast("double"), fit.getField(f"{c}_median"))
-        spread = F.coalesce(F.nullif(fit.getField(f"{c}_std"), F.lit(0.0)), F.lit(1.0))
-        out[c] = (x - fit.getField(f"{c}_mean")) / spread if scale else x
+        fit = stats[c]
+        x = F.coalesce(F.col(c).cast("double"), F.lit(fit["median"]).cast("double"))
+        out[c] = (x - F.lit(fit["mean"])) / F.lit(fit["std"] or 1.0) if scale else x
     return df.withColumns(out)
 
 
 def impute_categories(df: DataFrame, cols: Sequence[str], strategy: str = "constant", value: str = "missing") -> DataFrame:
     """NULL categories replaced by a constant or by the most frequent value."""
-    if strategy == "constant":
-        return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(value)) for c in cols})
-    best = modes(df, cols).select(F.struct(*cols)).scalar()
-    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), best.getField(c)) for c in cols})
+    best = dict.fromkeys(cols, value) if strategy == "constant" else modes(df, cols)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(best[c])) for c in cols})
 
 
 def one_hot(df: DataFrame, col: str, levels: Sequence[object], drop_first: bool = False, names: Sequence[str] | None = None) -> DataFrame:
@@ -96,15 +94,15 @@ def feature_stages(
     """
     items = []
     if numeric:
-        fit = (numeric_stats if scale else medians)(train, numeric).first()
+        stats = numeric_stats(train, numeric) if scale else {c: {"median": m} for c, m in medians(train, numeric).items()}
         for c in numeric:
-            mid = fit[f"{c}_median"] if scale else fit[c]
-            x = f"coalesce(cast(`{c}` as double), {_sql_value(mid)})"
+            fit = stats[c]
+            x = f"coalesce(cast(`{c}` as double), {_sql_value(fit['median'])})"
             if scale:
-                x = f"({x} - {_sql_value(fit[f'{c}_mean'])}) / {_sql_value(fit[f'{c}_std'] or 1.0)}"
+                x = f"({x} - {_sql_value(fit['mean'])}) / {_sql_value(fit['std'] or 1.0)}"
             items.append(f"{x} AS `{c}__num`")
     if categorical:
-        best = {c: fill for c in categorical} if fill is not None else modes(train, categorical).first().asDict()
+        best = dict.fromkeys(categorical, fill) if fill is not None else modes(train, categorical)
         for c in categorical:
             text = (best[c] or "missing").replace("\\", "\\\\").replace("'", "\\'")
             items.append(f"coalesce(cast(`{c}` as string), '{text}') AS `{c}__cat`")

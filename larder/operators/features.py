@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.scalars import as_col, date_parts, time_parts
-from larder.operators.ordered import HOT_ROWS, exact_quantiles, running_counts, series_features
+from larder.operators.ordered import HOT_ROWS, quantile_values, running_counts, series_features
 
 LAGS = (1, 7, 28)
 ROLLS = (7, 28)
@@ -95,16 +95,22 @@ def event_codes(requested: DataFrame, codes: DataFrame, name: str = "event_name"
     ``codes`` holds lower-case names and codes. An event never seen takes the code of ``none`` (0 if
     there is none) and counts as active.
     """
+    got = codes.agg(
+        F.coalesce(F.max(F.when(F.col(name) == "none", F.col(code))), F.lit(0)).alias("code"),
+    ).first()["code"]
+    fallback = codes.filter(F.col(code) == got).select(name).first()
     key = F.lower(F.trim(as_col(name)))
-    none = codes.filter(F.col(name) == "none").agg(F.coalesce(F.max(code), F.lit(0)).alias("c")).scalar()
     known = codes.select(F.col(name).alias("_key"), F.col(code).alias("_code"))
-    first = requested.withColumn("event_key", key).join(known, F.col("event_key") == F.col("_key"), "left")
+    joined = requested.withColumn("event_key", key).join(known, F.col("event_key") == F.col("_key"), "left")
     quiet = F.col("_code").isNotNull() & F.col("event_key").isin("none", "nan", "")
-    coded = first.withColumns(
-        {"event_code": F.coalesce("_code", none), "event_flag": F.when(quiet, F.lit(0.0)).otherwise(F.lit(1.0))}
+    unseen = F.lit(fallback[0]) if fallback else F.col("event_key")
+    return joined.withColumns(
+        {
+            "event_code": F.coalesce("_code", F.lit(got)),
+            "event_flag": F.when(quiet, F.lit(0.0)).otherwise(F.lit(1.0)),
+            "canonical_name": F.coalesce("_key", unseen),
+        }
     ).drop("_key", "_code")
-    names = codes.select(F.col(code).alias("event_code"), F.col(name).alias("_name"))
-    return coded.join(names, "event_code", "left").withColumn("canonical_name", F.coalesce("_name", "event_key")).drop("_name")
 
 
 def percent_rank_average(df: DataFrame, col: str, out: str = "pct") -> DataFrame:
@@ -115,31 +121,33 @@ def percent_rank_average(df: DataFrame, col: str, out: str = "pct") -> DataFrame
     return df.join(ranks, col, "left")
 
 
-def quantile_edges(df: DataFrame, col: str, q: int, digits: int = 9) -> Column:
-    """Distinct edges of q quantile bins as a one-row scalar subquery (array of at most q + 1)."""
-    rows = exact_quantiles(df, [col], [i / q for i in range(q + 1)])
-    return rows.select(F.array_distinct(F.transform("q", lambda e: F.round(e, digits)))).scalar()
+def quantile_edges(df: DataFrame, col: str, q: int, digits: int = 9) -> list[float]:
+    """Distinct edges of q quantile bins, at most q + 1 numbers."""
+    got = quantile_values(df, [col], [i / q for i in range(q + 1)]).get(col, [])
+    return sorted({round(e, digits) for e in got})
 
 
-def bin_index(value: Column, edges: Column, q: int, digits: int = 9) -> Column:
+def bin_index(value: Column, edges: Sequence[float], digits: int = 9) -> Column:
     """Right-closed bin from 0, the lowest edge in the first bin; NULL when there is no bin at all."""
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
     x = F.round(value, digits)
-    below = sum((F.coalesce((F.get(edges, F.lit(i)) < x).cast("int"), F.lit(0)) for i in range(q + 1)), F.lit(0))
-    return F.when(value.isNotNull() & (F.size(edges) > 1), F.greatest(below - 1, F.lit(0)))
+    below = sum(((F.lit(e) < x).cast("int") for e in edges), F.lit(0))
+    return F.when(value.isNotNull(), F.greatest(below - 1, F.lit(0)))
 
 
 def qcut(df: DataFrame, col: str, q: int = 5, out: str = "bin") -> DataFrame:
     """Quantile bins with duplicate edges dropped; with fewer than two bins, half as many are tried."""
-    less = max(2, q // 2)
-    wide, narrow = quantile_edges(df, col, q), quantile_edges(df, col, less)
-    value = F.col(col).cast("double")
-    chosen = F.when(F.size(wide) > 2, bin_index(value, wide, q)).otherwise(bin_index(value, narrow, less))
+    edges = quantile_edges(df, col, q)
+    if len(edges) < 3:
+        edges = quantile_edges(df, col, max(2, q // 2))
+    chosen = bin_index(F.col(col).cast("double"), edges)
     return df.withColumn(out, F.coalesce(chosen, F.lit(0)).cast("int"))
 
 
 def quantile_classes(df: DataFrame, col: str, q: int, out: str) -> DataFrame:
     """Quantile bins without the fallback, as used for class metrics."""
-    chosen = bin_index(F.col(col).cast("double"), quantile_edges(df, col, q), q)
+    chosen = bin_index(F.col(col).cast("double"), quantile_edges(df, col, q))
     return df.withColumn(out, F.coalesce(chosen, F.lit(0)).cast("int"))
 
 
@@ -148,9 +156,12 @@ def equal_width_bins(df: DataFrame, col: str, q: int, out: str = "bin") -> DataF
 
     If all values are equal the range is widened by a thousandth on both sides.
     """
-    span = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).select(F.struct("lo", "hi")).scalar()
-    low, high = span.getField("lo"), span.getField("hi")
-    widen = F.when(low != high, F.lit(0.0)).when(low == 0, F.lit(0.001)).otherwise(F.abs(low) * 0.001)
-    start, stop = low - widen, high + widen
-    below = sum(((start + F.lit(i) * ((stop - start) / q) < F.col(col)).cast("int") for i in range(q)), F.lit(0))
+    low, high = df.agg(F.min(col), F.max(col)).first()
+    if low is None:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    if low == high:
+        widen = 0.001 * abs(low) if low else 0.001
+        low, high = low - widen, high + widen
+    step = (high - low) / q
+    below = sum(((F.lit(float(low + i * step)) < F.col(col)).cast("int") for i in range(q)), F.lit(0))
     return df.withColumn(out, F.when(F.col(col).isNotNull(), F.greatest(below - 1, F.lit(0))).cast("int"))

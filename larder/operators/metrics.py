@@ -115,11 +115,11 @@ def residuals(df: DataFrame, y: str, p: str) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Counts in equal bins between minimum and maximum; the maximum belongs to the last bin."""
-    span = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).select(F.struct("lo", "hi")).scalar()
-    low, high = span.getField("lo"), span.getField("hi")
-    # a constant column gets the unit range around its value
-    low, high = F.when(low == high, low - 0.5).otherwise(low), F.when(low == high, high + 0.5).otherwise(high)
-    place = F.least(F.lit(bins), F.width_bucket(F.col(col), low, high, F.lit(bins)))
+    low, high = df.agg(F.min(col), F.max(col)).first()
+    if low is not None and low == high:
+        # a constant column gets the unit range around its value
+        low, high = low - 0.5, high + 0.5
+    place = F.least(F.lit(bins), F.width_bucket(F.col(col), F.lit(low), F.lit(high), F.lit(bins)))
     return df.filter(F.col(col).isNotNull()).groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 

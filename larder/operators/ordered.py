@@ -1,13 +1,14 @@
 """Order-dependent operators that stay parallel when one group holds much of the data.
 
-A plain ``Window.partitionBy(product)`` puts a product's whole history in one task. Here a group
-above a size limit is cut into consecutive chunks (day, and inside a crowded day ranges of an
-integer tie-break); chunks run in parallel and only the few rows at chunk borders, or the chunk
-sizes, meet per group. Small groups take the ordinary single-shuffle window.
+A plain ``Window.partitionBy(product)`` puts a product's whole history in one task. A probe job
+counts rows per group first. If no group is above the size limit, the ordinary single-shuffle window
+runs. Otherwise each hot group is cut into consecutive chunks (day, and inside a crowded day ranges
+of an integer tie-break); chunks run in parallel and only the few rows at chunk borders, or the chunk
+sizes, meet per group.
 
 A group counts as hot only if it holds more than 1/HOT_LIMIT of the table, so a list of hot groups
 (or of crowded days) never exceeds HOT_LIMIT rows, whatever the size of the table. That is the bound
-behind each ``broadcast`` in this module.
+behind what this module collects and broadcasts.
 """
 
 from __future__ import annotations
@@ -23,59 +24,67 @@ HOT_LIMIT = 5_000
 BUCKETS_PER_UNIT = 2048
 
 
-def _size_bar(sizes: DataFrame, hot_rows: int) -> Column:
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("t"))
-    return F.greatest(F.lit(float(hot_rows)), total.scalar() / F.lit(float(HOT_LIMIT)))
+def _all_known(keys: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return known
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Groups (never those with a NULL key) above ``hot_rows`` and above 1/HOT_LIMIT of all rows."""
+def size_limit(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> float | None:
+    """Row limit of an ordinary group: ``hot_rows`` or 1/HOT_LIMIT of the table; None if all groups
+    keep it."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter(F.col("_n") > _size_bar(sizes, hot_rows)).dropna(subset=list(keys)).select(*keys)
+    got = sizes.agg(F.sum("_n").alias("total"), F.max("_n").alias("top")).first()
+    limit = max(float(hot_rows), (got["total"] or 0) / HOT_LIMIT)
+    return limit if (got["top"] or 0) > limit else None
 
 
-def split_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def _small(df: DataFrame) -> DataFrame:
+    """A list bounded by HOT_LIMIT, collected once so that all branches of a plan see the same list."""
+    return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
+
+
+def hot_groups(df: DataFrame, keys: Sequence[str], limit: float) -> DataFrame:
+    """Groups without a NULL key above the limit."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return _small(sizes.filter(F.col("_n") > limit).dropna(subset=list(keys)).select(*keys))
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: float) -> DataFrame:
     """Add ``_hot``, ``_day`` and ``_part``: chunk columns that follow ``order`` inside each hot group.
 
-    ``order[0]`` is a date and ``order[1]`` an integer column; further columns only break ties. Rows
-    with a NULL key belong to no group, so they are spread by hash. With no keys the whole table is one
-    hot group.
+    ``order[0]`` is a date and ``order[1]``, if given, an integer column; the rest only breaks ties.
+    Rows with a NULL key belong to no group, so they are spread by hash. With no keys the whole table is
+    one hot group.
     """
-    day, tie = order[0], order[1]
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    bar = _size_bar(sizes, hot_rows)
+    day = order[0]
     if keys:
-        hot = F.broadcast(sizes.filter(F.col("_n") > bar).dropna(subset=list(keys)).select(*keys))
+        hot = hot_groups(df, keys, limit)
         inside = df.join(hot, list(keys), "left_semi")
         tagged = df.join(hot.withColumn("_hot", F.lit(True)), list(keys), "left")
     else:
-        inside = df
-        tagged = df.withColumn("_hot", F.lit(True))
-    crowded = (
-        inside.groupBy(*keys, day)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
-        .filter(F.col("_n") > bar)
-        .withColumn("_pieces", F.ceil(F.col("_n") / bar))
-        .withColumn("_width", F.expr("(_hi - _lo) div _pieces + 1"))
-        .select(*keys, day, "_lo", "_width")
-    )
-    null_key = F.greatest(*[F.col(k).isNull().cast("int") for k in keys], F.lit(0)) == 1 if keys else F.lit(False)
-    return (
-        tagged.join(F.broadcast(crowded), [*keys, day], "left")
-        .withColumn("_day", F.when(F.col("_hot"), F.col(day)))
-        .withColumn(
-            "_part",
-            F.when(F.col("_hot"), F.coalesce(F.expr(f"(`{tie}` - _lo) div _width"), F.lit(0)))
-            .when(null_key, F.pmod(F.xxhash64(*[F.col(c) for c in order]), F.lit(4096)))
-            .cast("bigint"),
+        inside, tagged = df, df.withColumn("_hot", F.lit(True))
+    spread = F.pmod(F.xxhash64(*order), F.lit(4096))
+    part = F.when(~_all_known(keys), spread)
+    if len(order) > 1:
+        tie = order[1]
+        crowded = _small(
+            inside.filter(F.col(day).isNotNull())
+            .groupBy(*keys, day)
+            .agg(F.count(F.lit(1)).alias("_n"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi"))
+            .filter(F.col("_n") > limit)
+            .select(
+                *keys, day, F.col("_lo").cast("decimal(38,0)").alias("_lo"),
+                F.expr(f"(cast(_hi as decimal(38,0)) - _lo) div ceil(_n / {limit!r}D) + 1").alias("_width"),
+            )
         )
-        .drop("_lo", "_width")
-    )
+        tagged = tagged.join(crowded, [*keys, day], "left")
+        step = F.expr(f"(cast(`{tie}` as decimal(38,0)) - _lo) div _width")
+        part = part.when(F.col("_hot"), F.coalesce(step, F.lit(-1)))
+    else:
+        part = part.when(F.col("_hot"), F.lit(0))
+    return tagged.withColumns({"_day": F.when(F.col("_hot"), F.col(day)), "_part": part.cast("bigint")}).drop("_lo", "_width")
 
 
 def series_features(
@@ -88,33 +97,31 @@ def series_features(
 ) -> DataFrame:
     """Window features that look at most ``reach`` rows back, per group, over an ordered series.
 
-    Each feature maps a window specification (partitioned and ordered, no frame) to a Column. Chunk
-    rows past the first ``reach`` are complete inside their chunk. The first and last ``reach`` rows of
-    all chunks of a hot group form a short series in which the remaining rows have their full past.
+    Each feature maps a window specification (partitioned and ordered, no frame) to a Column. Rows with
+    a NULL key or date are in no series and get NULL features. In a hot group, rows past the first
+    ``reach`` of a chunk are complete inside it. The first and last ``reach`` rows of all its chunks form
+    a short series in which the remaining rows have their full past.
     """
-    columns = df.columns
-    cut = split_hot(df, keys, order, hot_rows)
-    order_cols = [F.col(c) for c in order]
-    local = Window.partitionBy(*keys, "_day", "_part").orderBy(*order_cols)
-    chunk = Window.partitionBy(*keys, "_day", "_part")
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
+    limit = size_limit(df, keys, hot_rows)
+    known = _all_known([*keys, order[0]])
+    order_cols = [F.asc_nulls_last(order[0]), *[F.col(c) for c in order[1:]]]
+    series = Window.partitionBy(*keys).orderBy(*order_cols)
+    if limit is None:
+        return df.withColumns({name: F.when(known, f(series)) for name, f in features.items()})
 
+    cut = split_hot(df, keys, order, limit)
+    chunk = Window.partitionBy(*keys, "_day", "_part")
+    local = chunk.orderBy(*order_cols)
     body = cut.withColumns(
         {name: F.when(known, f(local)) for name, f in features.items()} | {"_rn": F.row_number().over(local)}
-    ).filter(F.col("_hot").isNull() | (F.col("_rn") > reach))
-
+    ).filter(F.col("_hot").isNull() | ~known | (F.col("_rn") > reach))
     borders = (
-        cut.filter(F.col("_hot"))
-        .withColumn("_rn", F.row_number().over(local))
-        .withColumn("_left", F.count(F.lit(1)).over(chunk) - F.col("_rn"))
-        .filter((F.col("_rn") <= reach) | (F.col("_left") < reach))
+        cut.filter(F.col("_hot") & known)
+        .withColumns({"_rn": F.row_number().over(local), "_of": F.count(F.lit(1)).over(chunk)})
+        .filter((F.col("_rn") <= reach) | (F.col("_of") - F.col("_rn") < reach))
     )
-    series = Window.partitionBy(*keys).orderBy(*order_cols)
     heads = borders.withColumns({name: f(series) for name, f in features.items()}).filter(F.col("_rn") <= reach)
-
-    out = [*columns, *[n for n in features if n not in columns]]
+    out = [*df.columns, *[n for n in features if n not in df.columns]]
     return body.select(*out).unionByName(heads.select(*out))
 
 
@@ -127,15 +134,21 @@ def positions(
     hot_rows: int = HOT_ROWS,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Row number from 1 and row count per group, in one shuffle of the table.
+    """Row number from 1 and row count per group, in one shuffle of the table; NULL for a NULL key.
 
     Hot groups are cut as in ``split_hot``, or all groups by an explicit ``chunk`` that follows
     ``order`` (say a hash prefix). A chunk's rows are numbered locally and moved by the sizes of the
     chunks before it; that sum runs over one row per chunk.
     """
-    columns = df.columns
+    known = _all_known(keys)
+    order_cols = [F.col(c) for c in order]
     if chunk is None:
-        cut = split_hot(df, keys, order, hot_rows)
+        limit = size_limit(df, keys, hot_rows) if keys else float(hot_rows)
+        if limit is None:
+            whole = Window.partitionBy(*keys)
+            rank, count = F.row_number().over(whole.orderBy(*order_cols)), F.count(F.lit(1)).over(whole)
+            return df.withColumns({pos: F.when(known, rank.cast("bigint")), total: F.when(known, count)})
+        cut = split_hot(df, keys, order, limit)
     else:
         cut = df.withColumns({"_hot": F.lit(True), "_day": chunk, "_part": F.lit(0).cast("bigint")})
     place = [*keys, "_day", "_part"]
@@ -147,16 +160,15 @@ def positions(
         F.sum("_n").over(Window.partitionBy(*keys)).alias("_total"),
     )
     local = Window.partitionBy(*place)
-    known = F.lit(True)
-    for k in keys:
-        known = known & F.col(k).isNotNull()
-    rank = F.row_number().over(local.orderBy(*[F.col(c) for c in order]))
-    return (
-        cut.join(moved, place, "left")
-        .withColumn(pos, F.when(known, (rank + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")))
-        .withColumn(total, F.when(known, F.coalesce(F.col("_total"), F.count(F.lit(1)).over(local)).cast("bigint")))
-        .select(*columns, pos, total)
-    )
+    rank = F.row_number().over(local.orderBy(*order_cols))
+    match = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in place]
+    placed = cut.alias("a").join(moved.alias("b"), match, "left").select("a.*", "b._before", "b._total")
+    return placed.withColumns(
+        {
+            pos: F.when(known, (rank + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")),
+            total: F.when(known, F.coalesce(F.col("_total"), F.count(F.lit(1)).over(local)).cast("bigint")),
+        }
+    ).select(*df.columns, pos, total)
 
 
 def value_bucket(df: DataFrame, value: str, prefix: int = 3) -> Column:
@@ -227,6 +239,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     return picked.select("column", F.array(*qs).alias("q"))
 
 
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """``exact_quantiles`` as numbers, to be used as constants in a plan (columns without values left out)."""
+    return {r["column"]: list(r["q"]) for r in exact_quantiles(df, cols, probs).collect()}
+
+
 def date_quantile(df: DataFrame, date: str, p: float) -> DataFrame:
     """One row with the interpolated ``p`` quantile of a date, in days since 1970 (column ``cutoff``).
 

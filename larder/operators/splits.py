@@ -28,9 +28,8 @@ def hash_split(df: DataFrame, key: Sequence[str], test_size: float = 0.2, seed:
 
 def time_split(df: DataFrame, date: str, test_size: float = 0.2) -> DataFrame:
     """Rows after the date quantile test, the rest train; undated rows are on neither side."""
-    cutoff = date_quantile(df, date, 1.0 - test_size).scalar()
-    day = F.unix_date(date)
-    return df.filter(F.col(date).isNotNull()).withColumn("split", side(day > cutoff))
+    cutoff = date_quantile(df, date, 1.0 - test_size).first()["cutoff"]
+    return df.filter(F.col(date).isNotNull()).withColumn("split", side(F.unix_date(date) > F.lit(cutoff)))
 
 
 def group_split(df: DataFrame, group: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:

@@ -68,8 +68,9 @@ def a4(v):
 def a5(v):
     nums = E.medians(v.table("lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
     cats = E.modes(v.table("part"), ["p_brand", "p_type"])
-    fit = nums.select(F.struct(*nums.columns)).scalar()
-    return rounded(cats.withColumns({c: fit.getField(c) for c in nums.columns}), "l_extendedprice")
+    fitted = nums | cats
+    row = v.spark.createDataFrame([tuple(fitted.values())], ", ".join(f"{c} {'double' if c in nums else 'string'}" for c in fitted))
+    return rounded(row, "l_extendedprice")
 
 
 @query(
@@ -81,8 +82,12 @@ from (select l_extendedprice x, nullif(l_quantity, 7) q from lineitem)""",
 def a6(v):
     items = v.table("lineitem").select("l_extendedprice", F.nullif("l_quantity", F.lit(7.0)).alias("l_quantity"))
     stats = E.numeric_stats(items, ["l_extendedprice", "l_quantity"])
-    shown = ["l_extendedprice_mean", "l_extendedprice_std", "l_quantity_median", "l_quantity_mean"]
-    return rounded(stats.select(*shown), "l_extendedprice_mean", "l_extendedprice_std", "l_quantity_mean")
+    shown = {
+        "l_extendedprice_mean": stats["l_extendedprice"]["mean"], "l_extendedprice_std": stats["l_extendedprice"]["std"],
+        "l_quantity_median": stats["l_quantity"]["median"], "l_quantity_mean": stats["l_quantity"]["mean"],
+    }
+    row = v.spark.createDataFrame([tuple(shown.values())], ", ".join(f"{c} double" for c in shown))
+    return rounded(row, "l_extendedprice_mean", "l_extendedprice_std", "l_quantity_mean")
 
 
 METRICS_SQL = """round(avg(abs(y-p)), 9) "MAE", round(sqrt(avg((y-p)*(y-p))), 9) "RMSE",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Joins are never hinted unless a side is bounded by construction: Spark picks broadcast or
 # sort-merge from sizes, and a hot key in a sort-merge join is split by the skew rule.
@@ -35,6 +36,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read back: later jobs start from columnar files, not
+    from the lineage, and a lost executor costs a re-read only."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/larder-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: str = "8", partitions: int = 8, name: str = "larder") -> SparkSession:
     """A local session for tests and benchmarks."""
     spark = (
