@@ -129,7 +129,7 @@ def m5b(v):
 @query(
     "M5c_event_frame_manual",
     f"""with {FRAME_SQL}, k as (select dur from cal where event_name = 'LOW Sale' group by 1 order by count(*) desc, dur limit 1),
-d as (select date '2001-12-24' window_start, date '2001-12-24' + dur - 1 window_end, unnest(generate_series(0, dur - 1)) i from k)
+d as (select date '2001-12-24' window_start, date '2001-12-24' + cast(dur as int) - 1 window_end, unnest(generate_series(0, dur - 1)) i from k)
 select product_id, shelf_life, 1 window_index, window_start, window_end, window_start + cast(i as int) date, isodow(window_start + cast(i as int))-1 dayofweek,
   month(window_start + cast(i as int)) "month", day(window_start + cast(i as int)) "day", 'LOW Sale' event_name,
   (select code from codes where event_name = 'low sale') event_name_enc, 1.0::double event, 0.0::double holiday from l cross join d""",
