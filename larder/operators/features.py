@@ -89,30 +89,47 @@ def label_codes(df: DataFrame, col: str, code: str | None = None) -> DataFrame:
     return df.join(code_table(df, col, code), col, "left")
 
 
+# Names that mean no event.
+QUIET_EVENTS = ("none", "nan", "")
+
+
+def fallback_event(codes: DataFrame, name: str = "event_name", code: str = "code") -> tuple[int, str | None]:
+    """Code and name an event never seen is scored as: ``none``, or code 0 if there is no ``none``."""
+    few = {r[name]: r[code] for r in codes.filter((F.col(name) == "none") | (F.col(code) == 0)).select(name, code).collect()}
+    if "none" in few:
+        return few["none"], "none"
+    return 0, next(iter(few), None)
+
+
 def event_codes(requested: DataFrame, codes: DataFrame, name: str = "event_name", code: str = "code") -> DataFrame:
     """Code, active flag and canonical name of requested events.
 
-    ``codes`` holds lower-case names and codes. An event never seen takes the code of ``none`` (0 if
-    there is none) and counts as active.
+    ``codes`` holds lower-case names and codes. An event never seen takes the fallback code and counts
+    as active.
     """
-    got = codes.agg(
-        F.coalesce(F.max(F.when(F.col(name) == "none", F.col(code))), F.lit(0)).alias("code"),
-    ).first()["code"]
-    fallback = codes.filter(F.col(code) == got).select(name).first()
-    key = F.lower(F.trim(as_col(name)))
+    number, unseen = fallback_event(codes, name, code)
     known = codes.select(F.col(name).alias("_key"), F.col(code).alias("_code"))
-    joined = requested.withColumn("event_key", key).join(known, F.col("event_key") == F.col("_key"), "left")
-    quiet = F.col("_code").isNotNull() & F.col("event_key").isin("none", "nan", "")
-    unseen = F.lit(fallback[0]) if fallback else F.col("event_key")
+    keyed = requested.withColumn("event_key", F.lower(F.trim(as_col(name))))
+    joined = keyed.join(known, F.col("event_key") == F.col("_key"), "left")
+    quiet = F.col("_code").isNotNull() & F.col("event_key").isin(*QUIET_EVENTS)
     return joined.withColumns(
         {
-            "event_code": F.coalesce("_code", F.lit(got)),
+            "event_code": F.coalesce("_code", F.lit(number)),
             "event_flag": F.when(quiet, F.lit(0.0)).otherwise(F.lit(1.0)),
-            "canonical_name": F.coalesce("_key", unseen),
+            "canonical_name": F.coalesce("_key", F.lit(unseen), "event_key"),
         }
     ).drop("_key", "_code")
 
 
+def event_code(codes: DataFrame, event: str, name: str = "event_name", code: str = "code") -> tuple[int, float]:
+    """Code and active flag of one event."""
+    key = event.strip().lower()
+    mine = codes.filter(F.col(name) == key).select(code).first()
+    if mine is None:
+        return fallback_event(codes, name, code)[0], 1.0
+    return mine[0], 0.0 if key in QUIET_EVENTS else 1.0
+
+
 def percent_rank_average(df: DataFrame, col: str, out: str = "pct") -> DataFrame:
     """Rank share in (0, 1], ties at their average rank: counts per value, then a join on the value."""
     ranks = running_counts(df, col).select(

@@ -13,12 +13,17 @@ behind what this module collects and broadcasts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.functions.scalars import number
+
 HOT_ROWS = 2_000_000
 HOT_LIMIT = 5_000
 BUCKETS_PER_UNIT = 2048
@@ -41,7 +46,7 @@ def size_limit(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) ->
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """A list bounded by HOT_LIMIT, collected once so that all branches of a plan see the same list."""
+    """A bounded list (hot groups, crowded days, a few buckets), collected once so that all branches of a plan see the same list."""
     return F.broadcast(df.sparkSession.createDataFrame(df.collect(), df.schema))
 
 
@@ -218,30 +223,48 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), prefix: in
     )
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles of many columns in one pass: rows (column, q array).
+def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
+    """Exact, linearly interpolated quantiles of many columns (columns without values left out).
 
-    Works from ``running_counts``, so no task holds all distinct values of a column.
+    Two scans of the columns and hardly any shuffle: counts per value bucket first, then counts per
+    value only inside the buckets that hold a wanted rank, at most two per column and probability.
     """
-    tall = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
-    ranked = running_counts(tall, "value", ["column"])
-    aggs = []
-    for i, p in enumerate(probs):
-        at = (F.col("total") - 1) * F.lit(float(p))
-        for side, target in (("lo", F.floor(at)), ("hi", F.ceil(at))):
-            hit = (F.col("before") <= target) & (target < F.col("before") + F.col("n"))
-            aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"_{side}{i}"))
-    picked = ranked.groupBy("column").agg(F.max("total").alias("total"), *aggs)
-    qs = []
-    for i, p in enumerate(probs):
-        at = (F.col("total") - 1) * F.lit(float(p))
-        qs.append(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (at - F.floor(at)))
-    return picked.select("column", F.array(*qs).alias("q"))
-
-
-def quantile_values(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float]]:
-    """``exact_quantiles`` as numbers, to be used as constants in a plan (columns without values left out)."""
-    return {r["column"]: list(r["q"]) for r in exact_quantiles(df, cols, probs).collect()}
+    tall = df.select(*[number(c).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+    tall = tall.filter(F.col("value").isNotNull())
+    tall = tall.withColumn("_bucket", value_bucket(tall, "value"))
+
+    def wanted(start: Column, size: Column) -> list[Column]:
+        hits = []
+        for p in probs:
+            at = (F.col("total") - 1) * F.lit(float(p))
+            hits += [(start <= r) & (r < start + size) for r in (F.floor(at), F.ceil(at))]
+        return hits
+
+    sizes = tall.groupBy("column", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("column").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.select(
+        "column", "_bucket", "_n", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy("column")).alias("total"),
+    )
+    held = reduce(or_, wanted(F.col("_before"), F.col("_n")))
+    buckets = _small(placed.filter(held).drop("_n"))
+
+    counts = tall.join(buckets, ["column", "_bucket"]).groupBy("column", "_bucket", "_before", "total", "value")
+    counts = counts.agg(F.count(F.lit(1)).alias("n"))
+    past = Window.partitionBy("column", "_bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counts.withColumn("before", F.col("_before") + F.coalesce(F.sum("n").over(past), F.lit(0)))
+    hits = wanted(F.col("before"), F.col("n"))
+    picked = ranked.groupBy("column").agg(
+        F.max("total").alias("total"), F.array(*[F.max(F.when(h, F.col("value"))) for h in hits]).alias("v")
+    )
+    out = {}
+    for row in picked.collect():
+        values = []
+        for i, p in enumerate(probs):
+            at, low, high = (row["total"] - 1) * float(p), row["v"][2 * i], row["v"][2 * i + 1]
+            values.append(low + (high - low) * (at - math.floor(at)))
+        out[row["column"]] = values
+    return out
 
 
 def date_quantile(df: DataFrame, date: str, p: float) -> DataFrame:
