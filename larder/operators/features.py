@@ -124,10 +124,11 @@ def event_codes(requested: DataFrame, codes: DataFrame, name: str = "event_name"
 def event_code(codes: DataFrame, event: str, name: str = "event_name", code: str = "code") -> tuple[int, float]:
     """Code and active flag of one event."""
     key = event.strip().lower()
-    mine = codes.filter(F.col(name) == key).select(code).first()
-    if mine is None:
-        return fallback_event(codes, name, code)[0], 1.0
-    return mine[0], 0.0 if key in QUIET_EVENTS else 1.0
+    near = codes.filter(F.col(name).isin(key, "none")).select(name, code)
+    few = {r[name]: r[code] for r in near.collect()}
+    if key in few:
+        return few[key], 0.0 if key in QUIET_EVENTS else 1.0
+    return few.get("none", 0), 1.0
 
 
 def percent_rank_average(df: DataFrame, col: str, out: str = "pct") -> DataFrame:

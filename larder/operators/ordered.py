@@ -89,7 +89,9 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: f
         part = part.when(F.col("_hot"), F.coalesce(step, F.lit(-1)))
     else:
         part = part.when(F.col("_hot"), F.lit(0))
-    return tagged.withColumns({"_day": F.when(F.col("_hot"), F.col(day)), "_part": part.cast("bigint")}).drop("_lo", "_width")
+    # undated rows form the first chunk, as NULL sorts first
+    chunk_day = F.when(F.col("_hot"), F.coalesce(F.col(day), F.lit("0001-01-01").cast("date")))
+    return tagged.withColumns({"_day": chunk_day, "_part": part.cast("bigint")}).drop("_lo", "_width")
 
 
 def series_features(
@@ -166,9 +168,8 @@ def positions(
     )
     local = Window.partitionBy(*place)
     rank = F.row_number().over(local.orderBy(*order_cols))
-    match = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in place]
-    placed = cut.alias("a").join(moved.alias("b"), match, "left").select("a.*", "b._before", "b._total")
-    return placed.withColumns(
+    # the join and the window share one partitioning; rows of ordinary groups have no chunk and match nothing
+    return cut.join(moved, place, "left").withColumns(
         {
             pos: F.when(known, (rank + F.coalesce(F.col("_before"), F.lit(0))).cast("bigint")),
             total: F.when(known, F.coalesce(F.col("_total"), F.count(F.lit(1)).over(local)).cast("bigint")),

@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # tables cached for repeated passes keep their shuffle partitions
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 
