@@ -14,49 +14,50 @@ read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import numbered, saved
 
-PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the vocabulary's own split
-ODD = r"[^\t\n\r\x20-\x7E¡-ɏͰ-ϿЀ-ӿ‐-‧€]|<\|"  # what the cache leaves to the tokenizer whole
+# fixed values: the vocabulary's own split of a text, with the commonest case first, and the characters that all
+# libraries class alike; texts with others, or with what may be a control string, go to the tokenizer itself
+PRETOKEN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+$|\s+(?!\S)|\s"
+ODD = r"[^\t\n\r\x20-\x7E¡-ɏ‐-‧€]|<\|"
 END = 0
-CACHE = 300_000
 
 
 class Encoder:
-    """Token ids as little-endian unsigned 32-bit bytes. Pieces of text between split points are encoded once
-    and remembered; a text with unusual characters or control strings goes to the tokenizer whole."""
+    """Token ids as little-endian unsigned 32-bit bytes, equal to those of the vocabulary's own library: tiktoken
+    merges by the ranks of the same vocabulary, several times as fast."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import json
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.find, self.odd, self.known = regex.compile(PRETOKEN).findall, regex.compile(ODD).search, {}
+        import tiktoken
+        from tokenizers import Tokenizer
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.tokenizer, self.odd = Tokenizer.from_file(path), re.compile(ODD).search
+        # the file writes each byte as a printable character: itself, or the next free one from 256 on
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in printable]
+        byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
+        with open(path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+        self.merge = tiktoken.Encoding("ranks", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
         if self.odd(text):
-            return self.whole(text)
-        known, parts = self.known, self.find(text)
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            if len(known) > CACHE:
-                known.clear()
-            new = [p for p in set(parts) if p not in known]
-            for p, made in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[p] = np.array(made.ids, "<u4").tobytes()
-            return b"".join([known[p] for p in parts])
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.merge(text)).tobytes()
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, window: int, doc_id: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
