@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import chat, html_text, packing, phrases, sharding, simhash, toxicity
+from larder.llm import chat, html_text, packing, phrases, sharding, simhash, suffixes, toxicity
 from larder.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,6 +71,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.examples(turns.unionByName(extra)))
 
 
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(table(spark, sf_dir, "documents"), 200)
+
+
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
