@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm import chat, html_text, packing, phrases, sharding, simhash, suffixes, toxicity
-from larder.llm.common import table
+from larder.llm import chat, html_text, neighbours, packing, phrases, sharding, simhash, suffixes, token_counts, toxicity
+from larder.llm.common import forget, saved, table
+from larder.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents come in under two vocabularies; the counts of one are revised to hold an end id;
+    all copies of a text but the first go. The second batch is then sent once more, which changes nothing."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", F.xxhash64("text").alias("same"), F.octet_length("text").alias("bytes"))
+    paths = {v: public_tokenizers.path(f"{v}.tiktoken") for v in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    counts = saved(token_counts.count_tokens(docs, paths, keep=("doc_id", "same", "bytes")))
+    rollup = token_counts.Rollup(spark, f"{checkpoint_dir(spark).rstrip('/')}/larder-rollup-{uuid.uuid4().hex}")
+    rollup.commit("load", token_counts.inserts(counts))
+    ended = F.col("tokenizer_version") == "byte_bpe_50k"
+    revised = counts.where(ended).withColumn("new_tokens", F.col("tokens") + 1)
+    rollup.commit("end-id", token_counts.revisions(revised))
+    now = counts.withColumn("tokens", F.col("tokens") + ended.cast("int"))
+    first = counts.where("same is not null").groupBy("same", "bytes").agg(F.min("doc_id").alias("first"))
+    copies = now.join(first, ["same", "bytes"]).where("doc_id <> first")
+    rollup.commit("copies", token_counts.deletes(copies))
+    rollup.commit("end-id", token_counts.revisions(revised))
+    forget(counts)
+    return rollup.totals()
+
+
 @query("op3_decontamination")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10).drop("_d", "_t")
@@ -40,6 +63,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), 3, 3)
 
 
+@query("op5_neighbours")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), 20, 20)
+
+
 OP6_SQL = r"""
 with extra as (
   select * from (values (-1::bigint, 0::bigint, 'user', '</s>[INST] ok [/INST]'), (-1::bigint, 1::bigint, 'assistant', '</s>[INST] ok [/INST]')) t(conv_id, turn, role, text)

@@ -65,15 +65,15 @@ def fingerprint(hashes: np.ndarray) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, tie, fp): a digest of the text, and the fingerprint as a signed long."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.fromiter((fingerprint(shingle_hashes(t, size)) for t in batch.pop("_text")), np.uint64, len(batch))
             yield batch.assign(fp=found.view(np.int64))
 
-    source = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("_text"))
-    return source.mapInPandas(run, "doc_id bigint, fp bigint")
+    source = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), F.xxhash64(docs[text].cast("string")).alias("tie"), docs[text].cast("string").alias("_text"))
+    return source.mapInPandas(run, "doc_id bigint, tie bigint, fp bigint")
 
 
 def fit_tree(sample: np.ndarray, depth: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -199,13 +199,28 @@ def fingerprint_links(points: DataFrame, bits: int = 3) -> DataFrame:
     return by_leaf.mapInPandas(link, "a bigint, b bigint").distinct()
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id, the smallest doc_id that links of
-    at most ``bits`` differing bits reach."""
+def classes(docs: DataFrame, size: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, tie, fp and component_id of every document."""
     prints = saved(fingerprints(docs, size, doc_id, text))
     points = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    classes = components(fingerprint_links(points, bits))
-    known = points.join(classes, points["fp"] == classes["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    linked = components(fingerprint_links(points, bits))
+    known = points.join(linked, points["fp"] == linked["node"], "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
     smallest = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_print = known.join(smallest, "component").select("fp", "component_id")
-    return prints.join(by_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_print = known.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(by_print, "fp")
+
+
+def near_duplicates(docs: DataFrame, size: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id, the smallest doc_id that links of
+    at most ``bits`` differing bits reach."""
+    return classes(docs, size, bits, doc_id, text).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, size: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The document of each class with the smallest id (then text digest; a null id only where there is no other),
+    with all its columns."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("first")
+    stay = saved(classes(docs, size, bits, doc_id, text).groupBy("component").agg(first).select("first.doc_id", "first.tie"))
+    named = docs.withColumn("_tie", F.xxhash64(docs[text].cast("string"))).withColumn("_id", docs[doc_id].cast("bigint"))
+    kept = named.join(stay.toDF("_keep", "_with"), (F.col("_tie") == F.col("_with")) & F.col("_id").eqNullSafe(F.col("_keep")), "left_semi")
+    return kept.dropDuplicates(["_id", "_tie"]).select(*docs.columns)

@@ -231,3 +231,17 @@ def score(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "te
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     scored = source.mapInPandas(run, f"{kinds}, score double, evidence array<bigint>")
     return scored.select("doc_id", *keep, held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"), "evidence")
+
+
+def without_toxic(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
+    """The documents that score below the limit, all columns as they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(vars(index))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model, seen = Index.__new__(Index), {}
+        vars(model).update(sent.value)
+        for texts in batches:
+            yield pd.Series([model.score(model.vector(WORD.findall((t or "").lower()), seen))[0] for t in texts], dtype="float64")
+
+    scored = F.pandas_udf(run, "double")(docs[text].cast("string"))
+    return docs.where(scored < REJECT)
