@@ -8,13 +8,15 @@ too. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 by their tags, roles and class names and never take part.
 
 Null and empty html give an empty text. A page without markup is one line and is kept. Repeated pages get equal
-results. Text outside the page's elements counts as part of the body. Columns of the input are not touched:
+results. Text outside the page's elements counts as part of the body. Malformed declarations are comments. Time grows
+with the page, however deep its elements lie in each other. Columns of the input are not touched:
 ``extract`` reads the columns it is told to and returns its own.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -42,11 +44,12 @@ SIGMA = 1.0
 class _Box:
     """An open element; ``noise`` says why it is left out: 0 no, 1 by its class (an article inside undoes it), 2 by its tag."""
 
-    __slots__ = ("tag", "noise", "up", "depth")
+    __slots__ = ("tag", "noise", "up", "depth", "weight", "shown", "chosen")
 
     def __init__(self, tag: str, noise: int, up: _Box | None):
         self.tag, self.noise, self.up = tag, noise, up
         self.depth = up.depth + 1 if up else 0
+        self.weight, self.shown, self.chosen = 0.0, False, False
 
 
 class _Lines(HTMLParser):
@@ -56,6 +59,8 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.top = _Box("#page", 0, None)
         self.box = self.top
+        self.boxes = [self.top]  # in page order, so a box comes after the one around it
+        self.open: Counter[str] = Counter()
         self.lines: list[tuple[str, int, _Box]] = []
         self.parts: list[str] = []
         self.tags = 0
@@ -85,11 +90,13 @@ class _Lines(HTMLParser):
                     noise = max(noise, 1 if block else 2)  # an inline box can't hold an article
         if noise or (block and tag != "p"):
             self.box = _Box(tag, noise, self.box)
+            self.boxes.append(self.box)
+            self.open[tag] += 1
             if tag in ("article", "main"):
                 up = self.box.up
                 while up:
                     up.noise = 0 if up.noise == 1 else up.noise
-                    up = up.up
+                    up = up.up if up.tag not in ("article", "main") else None  # that one saw to what is around it
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID or tag in BLOCK or tag in SILENT:
@@ -101,13 +108,23 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in BLOCK:
             self.end_line()
+        if not self.open[tag]:
+            return
         box = self.box
         while box.up and box.tag != tag:
             if box.tag in SILENT and box.tag != tag and tag not in WHOLE and tag not in SILENT:
                 return  # an end tag inside a form or menu does not close what is around it
             box = box.up
         if box.up:
-            self.box = box.up
+            while self.box is not box.up:
+                self.open[self.box.tag] -= 1
+                self.box = self.box.up
+
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # a section of no known kind
+            return self.parse_bogus_comment(i)
 
     def handle_data(self, data):
         if self.box.noise < 2:
@@ -144,29 +161,27 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.end_line()
-    lines = []
-    for text, tags, box in page.lines:
-        chain, up = [], box
-        while up and not up.noise:
-            chain.append(up)
-            up = up.up
-        if up is None:
-            lines.append((text, tags, chain))
+    for box in page.boxes:
+        box.shown = not box.noise and (box.up is None or box.up.shown)
+    lines = [line for line in page.lines if line[2].shown]
     if not lines:
         return ""
     sizes = np.array([len(text) for text, _, _ in lines], dtype=float)
     smoothed = smooth(sizes / np.maximum(1, [tags for _, tags, _ in lines]))
     chosen = smoothed >= threshold(smoothed)
     wanted = KEEP_SHARE * sizes[chosen].sum()
-    weight: dict[_Box, float] = {}
-    for (_, _, chain), size, above in zip(lines, sizes, chosen, strict=True):
+    for (_, _, box), size, above in zip(lines, sizes.tolist(), chosen.tolist(), strict=True):
         if above:
-            for box in chain:
-                weight[box] = weight.get(box, 0.0) + size
-    region = max((box for box, held in weight.items() if held >= wanted), key=lambda b: (b.tag in WHOLE or b.tag not in _LEAVES, b.depth))
+            box.weight += size
+    for box in reversed(page.boxes):
+        if box.up:
+            box.up.weight += box.weight
+    region = max((box for box in page.boxes if box.weight and box.weight >= wanted), key=lambda b: (b.tag in WHOLE or b.tag not in _LEAVES, b.depth))
     while region.tag in _LEAVES and region.up:
         region = region.up
-    return "\n\n".join(text for text, _, chain in lines if region in chain)
+    for box in page.boxes:
+        box.chosen = box is region or (box.up is not None and box.up.chosen)
+    return "\n\n".join(text for text, _, box in lines if box.chosen)
 
 
 #: boxes that hold a part of an article, never all of it

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 from fixtures import documents, empty, texts
@@ -23,6 +24,13 @@ def test_main_text_leaves_out_what_surrounds_an_article():
     assert html_text.main_text("<p>a <span class=ad>buy</span> b<p>c") == "a b\n\nc"
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
     assert html_text.main_text("plain") == "plain"
+    assert html_text.main_text("<p>a one</p><![foo[ x ]]><p>b") == "a one\n\nb"
+    assert html_text.main_text("<p>q</p><![%x;[").startswith("q")
+    began = time.process_time()
+    assert html_text.main_text("<div>x" * 20_000).count("x") >= 18_000  # the box that holds nearly all
+    assert html_text.main_text("<div>" * 20_000 + "</section>" * 20_000 + "x") == "x"
+    assert html_text.main_text("<div><article>" * 10_000 + "x") == "x"
+    assert time.process_time() - began < 10
     long = "<article>" + "<p>" + "word " * 50_000 + "</p><p>end</article>"
     assert html_text.main_text(long).endswith("word\n\nend")
 
