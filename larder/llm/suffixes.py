@@ -212,7 +212,8 @@ def spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: s
     dealt = saved(long_enough.mapInPandas(deal, "_d bigint, _t bigint, start bigint, n int, key bigint, sign bigint"))
     # on disk first, so that the join below meets two plain exchanges and can split a key that very many blocks have
     shared = saved(dealt.groupBy("key").agg(F.count("*").alias("seen"), F.min("sign").alias("low"), F.max("sign").alias("high")).where("seen > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")))
-    again = saved(dealt.join(shared, "key"))
+    # dealt out anew, so that equal blocks lie in many files and the join with their class can split them, too
+    again = saved(dealt.join(shared, "key").hint("rebalance"))
     forget(dealt, shared)
     classes = saved(again.groupBy("key", "sign").agg(F.count("*").alias("copies"), F.first("mixed").alias("mixed"), F.min(F.struct("_d", "_t", "start", "n")).alias("at")))
     whole = again.join(classes.where("copies > 1").select("key", "sign"), ["key", "sign"], "left_semi").select("_d", "_t", "start", "n")
