@@ -215,11 +215,14 @@ def spans(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: s
     # dealt out anew, so that equal blocks lie in many files and the join with their class can split them, too
     again = saved(dealt.join(shared, "key").hint("rebalance"))
     forget(dealt, shared)
-    classes = saved(again.groupBy("key", "sign").agg(F.count("*").alias("copies"), F.first("mixed").alias("mixed"), F.min(F.struct("_d", "_t", "start", "n")).alias("at")))
-    whole = again.join(classes.where("copies > 1").select("key", "sign"), ["key", "sign"], "left_semi").select("_d", "_t", "start", "n")
-
-    sizes = classes.where("mixed").groupBy("key").agg(F.count("*").alias("different"), F.min("copies").alias("fewest")).where("fewest = 1").select("key", "different")
-    open_ = classes.where("mixed").join(sizes, "key").select("key", "different", "copies", "at._d", "at._t", "at.start", "at.n")
+    # in a bucket of one block every row is a copy; only buckets of several must be told apart by block
+    mixed = again.where("mixed")
+    classes = saved(mixed.groupBy("key", "sign").agg(F.count("*").alias("copies"), F.min(F.struct("_d", "_t", "start", "n")).alias("at")))
+    copied = mixed.join(classes.where("copies > 1").select("key", "sign"), ["key", "sign"], "left_semi")
+    whole = again.where("not mixed").select("_d", "_t", "start", "n").unionByName(copied.select("_d", "_t", "start", "n"))
+
+    sizes = classes.groupBy("key").agg(F.count("*").alias("different"), F.min("copies").alias("fewest")).where("fewest = 1").select("key", "different")
+    open_ = classes.join(sizes, "key").select("key", "different", "copies", "at._d", "at._t", "at.start", "at.n")
     asked = open_.groupBy("_d", "_t").agg(F.collect_list(F.struct("key", "different", "copies", "start", "n")).alias("asked"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
