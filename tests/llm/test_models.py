@@ -88,6 +88,23 @@ def test_neighbours(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
+def test_neighbours_walk_until_none_is_left(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ENTRIES", 1)
+    angle = np.linspace(0, 1.4, 18)
+    rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angle)]
+    points, _ = neighbours.points_of(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 1)
+    links = spark.createDataFrame([(i, i + d, 1.0) for i in range(18) for d in (-1, 1) if 0 <= i + d < 18], "u long, v long, s double")
+    ends = points.where("id in (0, 17)").withColumn("q", F.col("id") + 100).select("q", "vec", "half")
+    best = {r.q: r.v for r in neighbours.search(points, links, ends, 1, 18).collect()}
+    assert best == {100: 0, 117: 17}  # one of them lies nine or more steps from where the walk begins
+
+
+def test_neighbours_effort_grows():
+    at = [neighbours.effort(n) for n in (1, 50_000, 150_000, 10**9)]
+    assert at[0] == at[1] == (neighbours.TABLES, neighbours.LINKS, neighbours.POOL)
+    assert all(a < b for x, y in zip(at[1:-1], at[2:], strict=True) for a, b in zip(x, y, strict=True))
+
+
 def test_pipeline(spark, tmp_path):
     pytest.importorskip("public_tokenizers")
     import corpus_pipeline
