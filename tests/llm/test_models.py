@@ -105,6 +105,22 @@ def test_neighbours_effort_grows():
     assert all(a < b for x, y in zip(at[1:-1], at[2:], strict=True) for a, b in zip(x, y, strict=True))
 
 
+def test_neighbours_beside_a_huge_vector(spark):
+    x = np.random.default_rng(6).standard_normal((1500, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= 1e9
+    table = spark.createDataFrame([(i, e.tolist()) for i, e in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(table).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(found & set(np.argsort(-s)[:20].tolist()))
+    assert hits / 20 / len(got) >= 0.9
+
+
 def test_pipeline(spark, tmp_path):
     pytest.importorskip("public_tokenizers")
     import corpus_pipeline
