@@ -2,9 +2,10 @@
 
 Each page is read once as a stream of standard-library parser events, which become lines (one for each block
 of text) with their number of tags and their place in the page. The text-to-tag ratios of the lines are
-smoothed with a Gaussian kernel and cut at a threshold found by two-means clustering; the smallest container
-that holds nearly all text above the threshold is the content region, and every line in it is kept, short ones
-too. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are known
+smoothed with a Gaussian kernel and cut at a threshold found by two-means clustering. The content region is the
+article (or else main element) around the container of nearly all text above the threshold; without one, it is the
+smallest container of all such text, and the containers around it as long as they add no page frame and no line
+that is mostly links. Every line in the region is kept, short ones too. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are known
 by their tags, roles and class names and never take part.
 
 Null and empty html give an empty text. A page without markup is one line and is kept. Repeated pages get equal
@@ -37,23 +38,26 @@ SPLIT = re.compile(r"[^a-z0-9]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
-KEEP_SHARE = 0.9  # the content region holds this share of the text above the threshold
+#: fixed values: tags that frame a page, so what holds one is more than the article
+FRAME = frozenset("nav header footer aside menu".split())
+CORE_SHARE = 0.9  # the article or main element around this share of the text above the threshold is the region
+LINKED = 0.5  # a line or box with this share of its text in links is no prose
 SIGMA = 1.0
 
 
 class _Box:
     """An open element; ``noise`` says why it is left out: 0 no, 1 by its class (an article inside undoes it), 2 by its tag."""
 
-    __slots__ = ("tag", "noise", "up", "depth", "weight", "shown", "chosen")
+    __slots__ = ("tag", "noise", "up", "depth", "weight", "frame", "shown", "chosen")
 
     def __init__(self, tag: str, noise: int, up: _Box | None):
         self.tag, self.noise, self.up = tag, noise, up
         self.depth = up.depth + 1 if up else 0
-        self.weight, self.shown, self.chosen = 0.0, False, False
+        self.weight, self.frame, self.shown, self.chosen = 0.0, int(tag in FRAME), False, False
 
 
 class _Lines(HTMLParser):
-    """Parser events to lines: (text, tags, box)."""
+    """Parser events to lines: (text, tags, box, whether most of it is links)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -61,19 +65,22 @@ class _Lines(HTMLParser):
         self.box = self.top
         self.boxes = [self.top]  # in page order, so a box comes after the one around it
         self.open: Counter[str] = Counter()
-        self.lines: list[tuple[str, int, _Box]] = []
+        self.lines: list[tuple[str, int, _Box, bool]] = []
         self.parts: list[str] = []
+        self.link, self.linked, self.said = False, 0, 0
         self.tags = 0
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.lines.append((text, self.tags, self.box))
+            self.lines.append((text, self.tags, self.box, self.linked >= LINKED * self.said))
             self.tags = 0
-        self.parts = []
+        self.parts, self.linked, self.said = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if tag == "a":
+            self.link = any(name == "href" for name, _ in attrs)
         block = tag in BLOCK
         if block:
             self.end_line()
@@ -106,6 +113,8 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
+        if tag == "a":
+            self.link = False
         if tag in BLOCK:
             self.end_line()
         if not self.open[tag]:
@@ -129,6 +138,9 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if self.box.noise < 2:
             self.parts.append(data)
+            size = len(data.strip())
+            self.said += size
+            self.linked += size if self.link else 0
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -166,22 +178,37 @@ def main_text(html: str | None) -> str:
     lines = [line for line in page.lines if line[2].shown]
     if not lines:
         return ""
-    sizes = np.array([len(text) for text, _, _ in lines], dtype=float)
-    smoothed = smooth(sizes / np.maximum(1, [tags for _, tags, _ in lines]))
+    sizes = np.array([len(text) for text, _, _, _ in lines], dtype=float)
+    smoothed = smooth(sizes / np.maximum(1, [tags for _, tags, _, _ in lines]))
     chosen = smoothed >= threshold(smoothed)
-    wanted = KEEP_SHARE * sizes[chosen].sum()
-    for (_, _, box), size, above in zip(lines, sizes.tolist(), chosen.tolist(), strict=True):
+    for (_, _, box, linked), size, above in zip(lines, sizes.tolist(), chosen.tolist(), strict=True):
         if above:
             box.weight += size
+        box.frame += linked
     for box in reversed(page.boxes):
         if box.up:
             box.up.weight += box.weight
-    region = max((box for box in page.boxes if box.weight and box.weight >= wanted), key=lambda b: (b.tag in WHOLE or b.tag not in _LEAVES, b.depth))
-    while region.tag in _LEAVES and region.up:
-        region = region.up
+            box.up.frame += box.frame
+    region = _region(page.boxes, sizes[chosen].sum())
     for box in page.boxes:
         box.chosen = box is region or (box.up is not None and box.up.chosen)
-    return "\n\n".join(text for text, _, box in lines if box.chosen)
+    return "\n\n".join(text for text, _, box, _ in lines if box.chosen)
+
+
+def _region(boxes: list[_Box], total: float) -> _Box:
+    """The box of the article; total: the weight of all text above the threshold."""
+    around: dict[str, _Box] = {}
+    box = max((b for b in boxes if b.weight and b.weight >= CORE_SHARE * total), key=lambda b: b.depth)
+    while box:
+        if box.tag in ("article", "main"):
+            around[box.tag] = box  # the outermost
+        box = box.up
+    if around:
+        return around.get("article") or around["main"]
+    region = max((b for b in boxes if b.weight >= total), key=lambda b: b.depth)
+    while region.up and (region.tag in _LEAVES or region.up.frame == region.frame):
+        region = region.up
+    return region
 
 
 #: boxes that hold a part of an article, never all of it

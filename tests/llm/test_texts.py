@@ -35,6 +35,17 @@ def test_main_text_leaves_out_what_surrounds_an_article():
     assert html_text.main_text(long).endswith("word\n\nend")
 
 
+def test_main_text_keeps_every_section():
+    long, short = "word " * 400, "more " * 30
+    page = f"<body><nav><a href=x>Menu</a></nav>{{}}<h1>T</h1><section><p>{long}</p></section><section><p>{short}</p><ul><li>one<li>two</ul></section>{{}}<footer>f</footer></body>"
+    want = "\n\n".join(["T", long.strip(), short.strip(), "one", "two"])
+    for begin, end in (("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>"), ("<div><div><p>Lead</p></div><div>", "</div></div>")):
+        got = html_text.main_text(page.format(begin, end))
+        assert got == ("Lead\n\n" if "Lead" in begin else "") + want, begin
+    listed = "".join(f"<p><a href=x>Another story {i}</a></p>" for i in range(5))
+    assert html_text.main_text(f"<body><div>{listed}</div><div><h1>T</h1><div><p>{long}</p></div></div></body>") == f"T\n\n{long.strip()}"
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a&amp;b", "t", 5), (2, None, None, "t", 5), (1, "u", "<p>a&amp;b", "t", 5), (None, "v", "", None, None)], "page_id long, url string, html string, text string, n_chars int")
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract(pages).collect())
