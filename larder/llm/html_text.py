@@ -6,7 +6,10 @@ smoothed with a Gaussian kernel and cut at a threshold found by two-means cluste
 article (or else main element) around the container of nearly all text above the threshold; without one, it is the
 smallest container of all such text, and the containers around it as long as they add no page frame and no line
 that is mostly links. Every line in the region is kept, short ones too. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are known
-by their tags, roles and class names and never take part.
+by their tags, roles and class names and never take part. A name that says so for sure (``comments``, ``ad-slot``)
+leaves its box out unless an article lies inside it or it holds most of the page; a name that only contains such a word
+(``with-sidebar``, ``discussion``) does so only if the box is mostly links. A page that would come out
+empty by its class names alone is read without them.
 
 Null and empty html give an empty text. A page without markup is one line and is kept. Repeated pages get equal
 results. Text outside the page's elements counts as part of the body. Malformed declarations are comments. Time grows
@@ -19,6 +22,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import numpy as np
@@ -33,6 +37,14 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: fixed values: words in class, id or role that mark what surrounds an article
 NOISE = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu breadcrumb breadcrumbs pagination pager sidebar rail widget related recommended recommendations trending share sharing social comment comments commentlist reply replies respond discussion disqus header masthead footer colophon copyright legal toc search skip contentinfo complementary".split())
+#: fixed values: those of them that name body text, too, or a box around it; ids, often anchors of a section, do so more often
+DOUBTFUL = frozenset("notice header search toc widget legal related discussion copyright rail reply replies respond overlay banner skip pager complementary".split())
+ANCHORS = frozenset("notification alert modal popup share sharing social subscription signup login consent gdpr promotion recommended recommendations trending masthead sponsor sponsored".split())
+SURE = {"class": NOISE - DOUBTFUL, "id": NOISE - DOUBTFUL - ANCHORS, "role": NOISE}
+#: fixed values: first words of names that say how a box is laid out, not what it is
+LAYOUT = frozenset("has with without no hide show is layout content page main body article post entry col row wrap wrapper container".split())
+#: fixed values: words for what readers add, which may be longer than the article
+READERS = frozenset("comment comments commentlist disqus".split())
 WHOLE = frozenset(("html", "body", "main", "article"))
 SPLIT = re.compile(r"[^a-z0-9]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -41,21 +53,38 @@ CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: fixed values: tags that frame a page, so what holds one is more than the article
 FRAME = frozenset("nav header footer aside menu".split())
 CORE_SHARE = 0.9  # the article or main element around this share of the text above the threshold is the region
+MOST = 0.75  # a box with this share of the page's text is no sidebar
 LINKED = 0.5  # a line or box with this share of its text in links is no prose
 SIGMA = 1.0
 
 
 class _Box:
-    """An open element; ``noise`` says why it is left out: 0 no, 1 by its class (an article inside undoes it), 2 by its tag."""
+    """An open element; ``noise`` says why it is left out: 0 no, 0.5 if it is mostly links, 1 by its class (an article
+    inside undoes both), 2 by its tag. ``readers``: its class names what readers add."""
 
-    __slots__ = ("tag", "noise", "up", "depth", "weight", "frame", "shown", "chosen")
+    __slots__ = ("tag", "noise", "up", "depth", "weight", "frame", "shown", "chosen", "size", "linked", "readers")
 
-    def __init__(self, tag: str, noise: int, up: _Box | None):
-        self.tag, self.noise, self.up = tag, noise, up
+    def __init__(self, tag: str, noise: float, up: _Box | None, readers: bool = False):
+        self.tag, self.noise, self.up, self.readers = tag, noise, up, readers
+        self.size = self.linked = 0
         self.depth = up.depth + 1 if up else 0
         self.weight, self.frame, self.shown, self.chosen = 0.0, int(tag in FRAME), False, False
 
 
+@lru_cache(50_000)
+def _named(kind: str, value: str) -> tuple[float, bool]:
+    """What a class, id or role (kind) says: 1 noise, 0.5 perhaps, 0 not; and whether it names what readers add."""
+    noise, readers = 0.0, False
+    for name in value.split():
+        words = [w for w in SPLIT.split(CAMEL.sub("-", name).lower()) if w]
+        if NOISE.isdisjoint(words):
+            continue
+        if words[0] not in LAYOUT and (words[0] in SURE[kind] or words[-1] in SURE[kind]):
+            noise, readers = 1.0, readers or not READERS.isdisjoint(words)
+        noise = max(noise, 0.5)
+    return noise, readers
+
+
 class _Lines(HTMLParser):
     """Parser events to lines: (text, tags, box, whether most of it is links)."""
 
@@ -88,21 +117,24 @@ class _Lines(HTMLParser):
             self.parts.append("\n")
         if tag in VOID:
             return
-        noise = 2 if tag in SILENT else 0
+        noise, readers = 2 if tag in SILENT else 0, False
         if not noise and attrs and tag not in WHOLE:
             for name, value in attrs:
                 if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and value and HIDDEN.search(value)):
                     noise = 2
-                elif name in ("class", "id", "role") and value and not NOISE.isdisjoint(SPLIT.split(CAMEL.sub("-", value).lower())):
-                    noise = max(noise, 1 if block else 2)  # an inline box can't hold an article
+                elif name in ("class", "id", "role") and value:
+                    by_name, by_readers = _named(name, value)
+                    readers = readers or by_readers
+                    if block or by_name == 1:
+                        noise = max(noise, by_name if block else 2)  # an inline box can't hold an article
         if noise or (block and tag != "p"):
-            self.box = _Box(tag, noise, self.box)
+            self.box = _Box(tag, noise, self.box, readers)
             self.boxes.append(self.box)
             self.open[tag] += 1
             if tag in ("article", "main"):
                 up = self.box.up
                 while up:
-                    up.noise = 0 if up.noise == 1 else up.noise
+                    up.noise = 0 if up.noise <= 1 else up.noise
                     up = up.up if up.tag not in ("article", "main") else None  # that one saw to what is around it
 
     def handle_startendtag(self, tag, attrs):
@@ -141,6 +173,8 @@ class _Lines(HTMLParser):
             size = len(data.strip())
             self.said += size
             self.linked += size if self.link else 0
+            self.box.size += size
+            self.box.linked += size if self.link else 0
 
 
 def smooth(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -173,9 +207,21 @@ def main_text(html: str | None) -> str:
     page.feed(html)
     page.close()
     page.end_line()
+    for box in reversed(page.boxes):
+        if box.up:
+            box.up.size += box.size
+            box.up.linked += box.linked
     for box in page.boxes:
+        if box.noise == 0.5:
+            box.noise = int(box.linked > LINKED * box.size)
+        elif box.noise == 1 and not box.readers and box.linked <= LINKED * box.size and box.size >= MOST * page.top.size:
+            box.noise = 0
         box.shown = not box.noise and (box.up is None or box.up.shown)
     lines = [line for line in page.lines if line[2].shown]
+    if not lines:  # nothing but tags left out, or class names were wrong
+        for box in page.boxes:
+            box.shown = (box.noise < 2 and not box.readers) and (box.up is None or box.up.shown)
+        lines = [line for line in page.lines if line[2].shown]
     if not lines:
         return ""
     sizes = np.array([len(text) for text, _, _, _ in lines], dtype=float)

@@ -46,6 +46,19 @@ def test_main_text_keeps_every_section():
     assert html_text.main_text(f"<body><div>{listed}</div><div><h1>T</h1><div><p>{long}</p></div></div></body>") == f"T\n\n{long.strip()}"
 
 
+def test_main_text_keeps_body_text_in_boxes_with_noisy_names():
+    long, short = ("word " * 300).strip(), "a few words of it"
+    for name in ("class='elementor-widget elementor-widget-text-editor'", "class='content with-sidebar'", "class='legal-text'", "id=discussion", "class=layout-right-sidebar", "class=sidebar"):
+        assert html_text.main_text(f"<body><nav>Menu</nav><div {name}><p>{long}</p></div><footer>f</footer></body>") == long, name
+    page = f"<body><nav>Menu</nav><div id=c><section><p>{long}</p></section>{{}}</div></body>"
+    for name in ("id=discussion", "class='legal-text'", "class=related"):
+        assert html_text.main_text(page.format(f"<section {name}><p>{short}</p></section>")) == f"{long}\n\n{short}", name
+    linked = "".join(f"<li><a href=x>Another story {i}</a>" for i in range(9))
+    for box in (f"<div class=related-posts><ul>{linked}</ul></div>", f"<div class=post-sidebar><ul>{linked}</ul></div>", f"<div class=comments><p>{long}</p></div>", f"<div class=ad-slot><p>{short}</p></div>", f"<div class=cookie-notice><p>{short}</p></div>"):
+        assert html_text.main_text(page.format(box)) == long, box
+    assert html_text.main_text(f"<body><div class=comments><p>{long}</p></div></body>") == ""
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a&amp;b", "t", 5), (2, None, None, "t", 5), (1, "u", "<p>a&amp;b", "t", 5), (None, "v", "", None, None)], "page_id long, url string, html string, text string, n_chars int")
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract(pages).collect())
