@@ -1,14 +1,18 @@
 """Balanced sharding by label propagation over linked documents, in DataFrame functions only.
 
 Documents with equal texts are linked. The links of a group go through a hub for the group, never between all pairs.
-Every document begins with a shard drawn from its id. In each round the documents vote and the hub takes the shard with
-most votes among those with room left; of the hubs that ask for a shard as many are let in, by a hash, as its quota of
-rows holds, and their documents take its shard. A group larger than half a shard is cut into hubs of that size, so one
-group of any size is spread over many shards and tasks. At the end the counts are made equal (law ``rows``: at most one
-apart): over-full shards give up rows, unlinked ones first, to the shards with free slots.
+Every document begins with a shard drawn from its id, and the documents of a group vote. Large groups (above 1/``SPLIT``
+of a shard, so of a bounded number) are placed first, one after another from the largest: a group goes whole to the
+shard with most votes among those with room for all of it; only if none has, as for each group of more than a shard,
+is it cut, and then into the fullest possible parts. Small groups go in rounds: each asks for the shard with most votes
+among those with room now, and as many are let in, by a hash, as the shard has room for. Rounds go on until no group
+waits; the last few are placed one after another, too. No shard takes more groups than it has room for, so no group is
+torn by the final balance. At the end the counts are made equal (law ``rows``: at most one apart): over-full shards give
+up rows, which are unlinked ones, to the shards with free slots.
 
-Votes, demands and counts are combined before each shuffle; only totals per shard reach the driver. Slots are numbered
-by a range sort over all tasks.
+Votes, demands and counts are combined before each shuffle; what reaches the driver are totals per shard and
+hash bucket and the sizes and votes of boundedly many groups. Slots, and the rows of a cut group, are numbered by a range
+sort over all tasks, so one group of any size is spread over many tasks.
 
 Defined results: a null text has size 8, CRC 0 and no links; empty texts are equal texts; repeated rows and null ids are
 rows like others; fewer rows than shards leave shards empty. Only the named columns are read.
@@ -16,12 +20,43 @@ rows like others; fewer rows than shards leave shards empty. Only the named colu
 
 from __future__ import annotations
 
+import itertools
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import forget, numbered, saved
+from larder.llm.common import SMALL, forget, numbered, saved
+
+SPLIT = 64  # a group of more than this part of a shard is large
+FEW = 2_000  # so many waiting small groups are placed one after another
+BUCKETS = 1_000
+
+
+def place(groups: list[tuple[str, int]], votes: dict[str, dict[int, int]], room: dict[int, int]) -> list[tuple[str, int, int, int]]:
+    """(group, first, end, shard) for the rows of each group by their numbers; takes the room that it uses. Groups go by
+    votes, or to the shard they fill most if that cuts less."""
 
-ROUNDS = 4
+    def attempt(by_votes: bool) -> tuple[list[tuple[str, int, int, int]], dict[int, int]]:
+        free, out = dict(room), []
+        for group, n in sorted(groups, key=lambda g: (-g[1], g[0])):
+            said, at = votes.get(group, {}), 0
+            while at < n:
+                fits = [s for s in free if free[s] >= n - at]
+                if fits:
+                    key = (lambda s: (said.get(s, 0), -free[s], -s)) if by_votes else (lambda s: (-free[s], said.get(s, 0), -s))
+                else:
+                    fits, key = list(free), lambda s: (free[s], said.get(s, 0), -s)
+                shard = max(fits, key=key)
+                take = min(free[shard], n - at)
+                out.append((group, at, at + take, shard))
+                free[shard] -= take
+                at += take
+        return out, free
+
+    out, free = min((attempt(True), attempt(False)), key=lambda made: len(made[0]))
+    room.update(free)
+    return out
 
 
 def _by_shard(numbers: dict[int, int], shard: str = "shard") -> Column:
@@ -41,47 +76,76 @@ def assign(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str
     ))
     total = rows.count()
     target = {s: total // shards + (1 if s < total % shards else 0) for s in range(shards)}
-    limit = max(1, total // shards // 2)
-
-    groups = rows.where("group is not null").groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
-    parts = saved(groups.withColumn("parts", F.ceil(F.col("n") / limit).cast("int")))
-    member = rows.where("group is not null").join(parts, "group")
-    # the hub of a row: its group, or one of the parts of a large group
-    part = F.pmod(F.xxhash64("group", F.col("doc_id").cast("string"), F.lit("part")), F.col("parts")).cast("int")
-    linked = saved(member.select("doc_id", "size", "text_crc32", "group", part.alias("part"), "shard"))
-    alone = rows.join(parts.select("group"), "group", "left_anti").select("doc_id", "size", "text_crc32", F.lit(None).cast("string").alias("group"), F.lit(0).alias("part"), "shard")
-
-    votes = saved(linked.groupBy("group", "part", "shard").agg(F.count("*").alias("votes")))
-    hubs = votes.groupBy("group", "part").agg(F.sum("votes").alias("n"))
-    placed, waiting = None, saved(hubs)
     room = dict(target)
-    for turn in range(ROUNDS):
-        free = _by_shard({s: max(0, room[s]) for s in range(shards)})
-        # what a hub's documents and its neighbours say: the shard with most votes among those with room for it
-        choice = F.max_by("shard", F.struct("votes", F.xxhash64("group", "part", "shard", F.lit(turn))))
-        own = votes.join(waiting, ["group", "part"]).where(free >= F.col("n")).groupBy("group", "part", "n").agg(choice.alias("want"))
-        spare = [s for s in range(shards) if room[s] > 0] or list(range(shards))
-        other = F.element_at(F.array(*map(F.lit, spare)), F.pmod(F.xxhash64("group", "part", F.lit(turn)), F.lit(len(spare))).cast("int") + 1)
-        asked = saved(waiting.join(own.select("group", "part", "want"), ["group", "part"], "left").select("group", "part", "n", F.coalesce("want", other).alias("shard")))
-        demand = {r["shard"]: r["n"] for r in asked.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
-        share = {s: min(1_000_000, 1_000_000 * max(0, room[s]) // demand[s]) if demand.get(s) else 0 for s in range(shards)}
-        let_in = F.pmod(F.xxhash64("group", "part", F.lit(turn), F.lit("in")), F.lit(1_000_000)) < _by_shard(share)
-        taken = saved(asked.where(let_in))
-        for r in taken.groupBy("shard").agg(F.sum("n").alias("n")).collect():
-            room[r["shard"]] -= r["n"]
-        placed = taken if placed is None else placed.unionAll(taken)
-        waiting = saved(asked.where(~let_in).select("group", "part", "n"))
-        if waiting.isEmpty():
+
+    groups = saved(rows.where("group is not null").groupBy("group").agg(F.count("*").alias("n")).where("n > 1"))
+    linked = saved(rows.join(groups, "group").select("doc_id", "size", "text_crc32", "group", "n", "shard"))
+    alone = rows.join(groups.select("group"), "group", "left_anti").select("doc_id", "size", "text_crc32", F.lit(None).cast("string").alias("group"), "shard")
+    votes = saved(linked.groupBy("group", "n", "shard").agg(F.count("*").alias("votes")))
+
+    def place_all(some: DataFrame) -> list[tuple[str, int, int, int]]:
+        said: dict[str, dict[int, int]] = {}
+        sizes: dict[str, int] = {}
+        for r in some.collect():
+            sizes[r["group"]] = r["n"]
+            said.setdefault(r["group"], {})[r["shard"]] = r["votes"]
+        return place(list(sizes.items()), said, room)
+
+    large = F.col("n") * SPLIT > max(1, total // shards)
+    pieces = place_all(votes.where(large))
+    placed, waiting = [], saved(groups.where(~large))
+    for turn in itertools.count():
+        left = waiting.count()
+        if not left:
             break
-    moved = linked.join(placed.select("group", "part", F.col("shard").alias("to")), ["group", "part"], "left").withColumn("shard", F.coalesce("to", "shard")).drop("to")
-    settled = moved.withColumn("alone", F.lit(0)).unionByName(alone.withColumn("alone", F.lit(1)))
+        took = 0
+        if left > FEW:
+            # what a group's documents say: the shard with most votes among those with room for it now
+            free = _by_shard(room)
+            choice = F.max_by("shard", F.struct("votes", F.xxhash64("group", "shard", F.lit(turn))))
+            own = votes.join(waiting.select("group"), "group").where(free >= F.col("n")).groupBy("group").agg(choice.alias("want"))
+            spare = sorted(s for s in room if room[s] > 0)
+            other = F.element_at(F.array(*map(F.lit, spare)), F.pmod(F.xxhash64("group", F.lit(turn)), F.lit(len(spare))).cast("int") + 1)
+            bucket = F.pmod(F.xxhash64("group", F.lit(turn), F.lit("in")), F.lit(BUCKETS)).cast("int")
+            asked = saved(waiting.join(own, "group", "left").select("group", "n", F.coalesce("want", other).alias("shard"), bucket.alias("bucket")))
+            demand: dict[int, dict[int, int]] = {}
+            for row in asked.groupBy("shard", "bucket").agg(F.sum("n").alias("n")).collect():
+                demand.setdefault(row["shard"], {})[row["bucket"]] = row["n"]
+            cut = {}
+            for s, by_bucket in demand.items():
+                for b in sorted(by_bucket):
+                    if by_bucket[b] > room[s]:
+                        break
+                    room[s] -= by_bucket[b]
+                    cut[s], took = b + 1, took + by_bucket[b]
+            let_in = F.col("bucket") < _by_shard({s: cut.get(s, 0) for s in range(shards)})
+            placed.append(asked.where(let_in).select("group", F.col("shard").alias("to")))
+            forget(waiting)
+            waiting = saved(asked.where(~let_in).select("group", "n"))
+        if not took:
+            last = waiting.orderBy(F.desc("n"), "group").limit(FEW).select("group")
+            chosen = saved(last)
+            pieces += place_all(votes.join(F.broadcast(chosen), "group"))
+            after = saved(waiting.join(F.broadcast(chosen), "group", "left_anti"))
+            forget(waiting)
+            waiting = after
+    listed = rows.sparkSession.createDataFrame(pieces, "group string, first long, end long, to int")
+    # a few pieces for each large group, and the small ones that came last
+    hint = F.broadcast if len(pieces) <= SMALL else (lambda df: df)
+    several = listed.where("first > 0").select("group").distinct()
+    columns = ["doc_id", "size", "text_crc32", "group"]
+    kept = [linked.join(hint(listed.join(several, "group", "left_anti")), "group"), *(linked.where(~large).join(taken, "group") for taken in placed)]
+    rows_of_torn = numbered(linked.join(hint(several), "group", "left_semi"), ["group"], ["doc_id", "text_crc32", "size", "shard"], "at")
+    kept.append(rows_of_torn.join(hint(listed), "group").where("at >= first and at < end"))
+    moved = [k.select(*columns, F.col("to").alias("shard"), F.lit(0).alias("alone")) for k in kept]
+    settled = reduce(DataFrame.unionByName, moved, alone.withColumn("alone", F.lit(1)))
 
     # linked rows first, group by group, so what an over-full shard gives up are rows without links while it has any
-    order = numbered(settled, ["shard"], ["alone", "group", "part", "doc_id", "text_crc32", "size"], "slot")
+    order = numbered(settled, ["shard"], ["alone", "group", "doc_id", "text_crc32", "size"], "slot")
     order = saved(order)
     have = {r["shard"]: r["count"] for r in order.groupBy("shard").count().collect()}
     stays = F.col("slot") < _by_shard(target)
-    over = numbered(order.where(~stays).drop("slot"), [], ["group", "part", "shard", "doc_id", "text_crc32", "size"], "spare")
+    over = numbered(order.where(~stays).drop("slot"), [], ["group", "shard", "doc_id", "text_crc32", "size"], "spare")
     shard_col, slot_col, before = F.lit(0), F.lit(0).cast("bigint"), 0
     for s in range(shards):
         first = min(have.get(s, 0), target[s])
@@ -90,6 +154,6 @@ def assign(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id", text: str
         shard_col, slot_col = F.when(inside, F.lit(s)).otherwise(shard_col), F.when(inside, F.col("spare") - before + first).otherwise(slot_col)
         before += gap
     refilled = over.withColumn("shard", shard_col).withColumn("slot", slot_col).drop("spare")
-    forget(rows, parts, votes)
+    forget(rows, groups, votes)
     result = order.where(stays).unionByName(refilled)
     return result.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"), (F.col("alone") == 0).alias("linked"))

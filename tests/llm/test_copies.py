@@ -178,3 +178,29 @@ def test_sharding(spark):
     whole = sum(len(c) == 1 for c in where.values())
     assert whole >= 0.8 * len(where)  # few groups are cut
     assert sharding.assign(empty(spark), 24).count() == 0
+
+
+def test_groups_go_whole_while_a_shard_has_room(spark, monkeypatch):
+    groups = [(g, n) for g in range(10) for n in range(22)] + [(10, n) for n in range(320)] + [(100 + i // 3, i) for i in range(210)]
+    rows = [(i, f"text {g}") for i, (g, _) in enumerate(groups)] + [(1000 + i, f"alone {i}") for i in range(960 - len(groups))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for few in (sharding.FEW, 3):  # at once, and in rounds
+        monkeypatch.setattr(sharding, "FEW", few)
+        monkeypatch.setattr(sharding, "SPLIT", 64 if few > 3 else 4)
+        got = sharding.assign(docs, 24).collect()
+        assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows)
+        assert set(Counter(r.shard for r in got).values()) == {40}
+        where = {}
+        for r in got:
+            where.setdefault(r.text_crc32, set()).add(r.shard)
+        on = lambda g: len(where[zlib.crc32(f"text {g}".encode())])
+        assert [on(g) for g in range(11)] == [1] * 10 + [8]
+        assert [on(g) for g in range(100, 170)] == [1] * 70
+
+
+def test_place_cuts_only_what_does_not_fit():
+    room = {s: 100 for s in range(4)}
+    made = sharding.place([(g, 60) for g in "abcde"], {"a": {2: 9}}, room)
+    assert made[0] == ("a", 0, 60, 2) and sum(end - first for _, first, end, _ in made) == 300
+    assert Counter(g for g, _, _, _ in made) == {"a": 1, "b": 1, "c": 1, "d": 1, "e": 2}
+    assert min(room.values()) >= 0 and sum(room.values()) == 100
