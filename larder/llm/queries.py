@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from larder.llm import chat, html_text, neighbours, packing, phrases, sharding, simhash, suffixes, token_counts, toxicity
+from larder.llm import byte_bpe, centroids, chat, collocations, html_text, neighbours, packing, phrases, sharding, simhash, suffixes, token_counts, toxicity
 from larder.llm.common import forget, saved, table
 from larder.session import checkpoint_dir
 
@@ -142,3 +142,68 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from doc_words left join per using (rid) left join ids using (rid)
 """
 ORACLES["op3_decontamination"] = OP3_SQL
+
+
+OP11_SQL = r"""
+with words as (
+  select row_number() over () pid, lang, w from (
+    select lang, list_filter(string_split_regex(p, '[ \t]+'), lambda x: x <> '') w from (
+      select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) p from documents
+    )
+  ) where len(w) > 0
+), counts as materialized (
+  select lang, m, phrase, count(*) f from (
+    select lang, m, array_to_string(w[s : s + m - 1], ' ') phrase from (select lang, w, m, unnest(range(1, len(w) - m + 2)) s from words, (values (1), (2), (3)) t(m))
+  ) group by all
+), totals as (select lang, sum(len(w))::bigint n from words group by 1
+), cand as materialized (select lang, m, phrase, string_split(phrase, ' ') w, f a from counts where m > 1 and f >= 10
+), inner_parts as (
+  select lang, array_to_string(w[s : s + 1], ' ') phrase, max(a) longer from (select lang, w, a, unnest([1, 2]) s from cand where m = 3) group by all
+), kept as (select cand.* from cand left join inner_parts using (lang, phrase) where longer is null or 100 * longer < 50 * a
+), cuts as (
+  select c.lang, c.phrase, a, k, l.f l, r.f r, ((1000000::hugeint * a * a) // (l.f::hugeint * r.f))::bigint score from (
+    select lang, phrase, a, k, array_to_string(w[1 : k], ' ') x, array_to_string(w[k + 1 : m], ' ') y from (select *, unnest(range(1, m)) k from kept)
+  ) c join counts l on l.lang = c.lang and l.phrase = c.x join counts r on r.lang = c.lang and r.phrase = c.y
+), best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), ranked as (select *, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) rank from best)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, share=50, top=2000)
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def _op13_sql(k: int = 8, rounds: int = 10) -> str:
+    """Every round as a table of its own: the nearest centroid of each vector, then the new centroids."""
+    near = "select rid, c, d from (select rid, c, d, row_number() over (partition by rid order by d, c) nth from (select rid, c, sum((x - y) * (x - y)) d from comps join {0} using (i) group by all)) where nth = 1"
+    parts = [
+        f"""kept as materialized (
+  select row_number() over () rid, vec_id, list_transform(e, lambda x: floor(1024 * x)::hugeint) v from (select vec_id, embedding::double[] e from embeddings)
+  where len(e) = 64 and len(list_filter(e, lambda x: x is not null and isfinite(x))) = 64
+), comps as materialized (select rid, i, v[i] x from kept, range(1, 65) t(i)
+), c0 as materialized (
+  select c, i, v[i] y from (select v, row_number() over (order by sha256('3:' || vec_id::varchar) nulls last, v) - 1 c from kept qualify c < {k}), range(1, 65) t(i)
+)"""
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} as materialized ({near.format(f'c{r}')})")
+        parts.append(
+            f"""s{r} as (select c, i, sum(x) s, count(*) n from a{r} join comps using (rid) group by all),
+c{r + 1} as materialized (select c, i, case when n is null then y else (s - ((s % n) + n) % n) // n end y from c{r} left join s{r} using (c, i))"""
+        )
+    parts.append(f"a{rounds} as materialized ({near.format(f'c{rounds}')})")
+    return "with " + ",\n".join(parts) + f"""
+select vec_id, c::int cluster, d::bigint distance, (sum(d) over (partition by c))::bigint cluster_inertia, (sum(d) over ())::bigint inertia, centroid_sha256
+from a{rounds} join kept using (rid) join (select c, sha256(string_agg(y::varchar, ',' order by i)) centroid_sha256 from c{rounds} group by c) using (c)"""
+
+
+@query("op13_centroids", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.digest(table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed=3)
