@@ -109,6 +109,25 @@ def test_codec_equals_the_library(ranks, library):
     assert not codec.queue.buckets and not any(any(level) for level in codec.queue.levels)
 
 
+def test_characters_that_the_library_does_not_know(ranks):
+    # a vocabulary in which a character merges with its neighbour wherever the pattern leaves them together
+    rng = random.Random(5)
+    ends = [int(x, 16) for r in byte_bpe.LATER.split() for x in r.split("-")]
+    some = sorted({*ends, *[c + d for c in ends for d in (-1, 1)], *range(0x80, 0x300), *[rng.randrange(0x80, 0x40000) for _ in range(3000)]})
+    some = [chr(c) for c in some if not 0xD800 <= c < 0xE000]
+    table = {bytes([i]): i for i in range(256)}
+    for ch in some:
+        for prefix in (b"", b"x", b"1", b"!", b"\n"):
+            whole = prefix + ch.encode()
+            for k in range(2, len(whole) + 1):
+                table.setdefault(whole[:k], len(table))
+    codec = byte_bpe.Codec(table, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("toy", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    for ch in some:
+        for text in ("x" + ch + "x", "1" + ch, "!" + ch + "! ", "\n" + ch, " " + ch + " x"):
+            assert byte_bpe.unpacked(codec.encode(text)) == library(text), hex(ord(ch))
+
+
 def test_long_pretokens_take_linear_time(ranks, library):
     import time
 
@@ -129,6 +148,7 @@ def test_merging_where_longer_tokens_have_lower_ranks():
         rng.shuffle(order)
         table = {t: i * 70 for i, t in enumerate(order)}
         codec = byte_bpe.Codec(table, ".+")
+        asked, wanted = [], []
         for _ in range(20):
             piece = bytes(rng.choice(b"abc") for _ in range(rng.randint(1, 30)))
             parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -139,19 +159,24 @@ def test_merging_where_longer_tokens_have_lower_ranks():
                 _, i = min(pairs)
                 parts[i : i + 2] = [parts[i] + parts[i + 1]]
             want = [table[piece]] if piece in table else [table[p] for p in parts]
-            assert codec.merge(piece) == want
+            assert codec.merge([piece]) == [byte_bpe.packed(want)]
+            wanted.append(byte_bpe.packed(want))
+            asked.append(piece)
+        assert codec.merge(asked) == wanted  # in one queue
 
 
 def test_encode_and_decode_tables(spark, library):
     docs = documents(spark).withColumns({"_v": F.lit("kept"), "ids": F.lit(1), "a.b": F.lit(2), "big": F.lit((1 << 60) + 1)})
     docs = docs.unionByName(docs.limit(1).withColumns({"big": F.lit(None).cast("long")}))
     coded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
-    back = byte_bpe.decode(coded, RANKS)
+    back = byte_bpe.decode(coded, RANKS, public_tokenizers.PATTERN)
     rows = back.collect()
     assert len(rows) == docs.count() and back.columns == [c for c in docs.columns if c != "ids"] + ["ids", "decoded"]
     for r in rows:
         assert byte_bpe.unpacked(bytes(r["ids"])) == library(r["text"] or "")
         assert bytes(r["decoded"]) == (r["text"] or "").encode() and r["_v"] == "kept" and r["big"] in (None, (1 << 60) + 1)
+    both = byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    assert both.columns == back.columns and Counter(map(str, both.collect())) == Counter(map(str, rows))
     got = byte_bpe.digest(docs, RANKS, public_tokenizers.PATTERN)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     made = Counter(tuple(r) for r in got.collect())
