@@ -6,7 +6,7 @@ count of a shorter phrase is the sum over all windows that begin with it, so ROL
 the counts of all shorter prefixes down to the total of the language, and no other n-grams are ever exploded.
 
 The windows of a text are made row by row (no shuffle, whatever the text's length) and combined before the shuffle,
-so a frequent phrase is one row per task. Later tables hold phrases of at least ``least`` occurrences only. The best
+so a frequent phrase is one row per task; the longest phrases and the rollup read that one shuffle. Later tables hold phrases of at least ``least`` occurrences only. The best
 of a language are picked in two steps, so that no task sees more than a bounded number of rows per lot.
 
 Defined results: null texts are empty, a null language is 'und'; very long texts count whole; repeated rows count
@@ -22,7 +22,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import ascii_lower, forget, saved
+from larder.llm.common import ascii_lower, saved
 
 PIECE_END = "[.,;:!?\\n-\\r]"
 GAP = "[ \\t]+"
@@ -51,15 +51,20 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 1, text: str =
     """(lang, phrase, m, f) of all phrases of 1 to ``longest`` words with at least ``least`` occurrences, and (lang, n)
     with all word occurrences."""
     names = _names(longest)
-    top = saved(windows(docs, longest, text, lang).groupBy("lang", *names).agg(F.count(F.lit(1)).alias("f")))
-    # the longest are counted already; a level below is a sum over the next, its rolled-up words are null
-    below = top.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"))
-    rows = top.unionByName(below.where("lang is not null"), allowMissingColumns=True)
-    no_padding = reduce(and_, [F.coalesce(F.col(w) != "", F.lit(True)) for w in names])
-    length = sum((F.col(w).isNotNull().cast("int") for w in names), F.lit(0))
-    known = rows.where(no_padding & ((F.col("f") >= least) | F.col("w1").isNull()))
-    counts = saved(known.select("lang", F.concat_ws(" ", *names).alias("phrase"), length.alias("m"), "f"))
-    forget(top)
+    # words hold no spaces, so a window is one compact text: its words without the padding
+    window = F.concat_ws(" ", *[F.nullif(F.col(w), F.lit("")) for w in names])
+    top = windows(docs, longest, text, lang).groupBy("lang", window.alias("phrase")).agg(F.count(F.lit(1)).alias("f"))
+    words = F.split("phrase", " ")
+    size = F.size(words)
+    # both branches read one shuffle: a filter that names the count can't slip below it and tell them apart
+    longest_ones = top.where(F.when(size == longest, F.col("f")) >= least).select("lang", "phrase", F.lit(longest).alias("m"), "f")
+    parts = top.select("lang", *[F.coalesce(F.get(words, F.lit(i)), F.lit("")).alias(w) for i, w in enumerate(names[:-1])], "f")
+    # a level of the rollup is a sum over the next longer phrases; rolled-up words are null
+    below = parts.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"))
+    no_padding = reduce(and_, [F.coalesce(F.col(w) != "", F.lit(True)) for w in names[:-1]], F.lit(True))
+    length = sum((F.col(w).isNotNull().cast("int") for w in names[:-1]), F.lit(0))
+    known = below.where(F.col("lang").isNotNull() & no_padding).select("lang", F.concat_ws(" ", *names[:-1]).alias("phrase"), length.alias("m"), "f")
+    counts = saved(known.where((F.col("f") >= least) | (F.col("m") == 0)).unionByName(longest_ones))
     return counts.where("m > 0"), counts.where("m = 0").select("lang", F.col("f").alias("n"))
 
 
