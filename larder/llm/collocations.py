@@ -5,9 +5,11 @@ columns as the longest phrase has words, padded by '' behind the piece's end. On
 count of a shorter phrase is the sum over all windows that begin with it, so ROLLUP over the counted windows gives
 the counts of all shorter prefixes down to the total of the language, and no other n-grams are ever exploded.
 
-The windows of a text are made row by row (no shuffle, whatever the text's length) and combined before the shuffle,
-so a frequent phrase is one row per task; the longest phrases and the rollup read that one shuffle. Later tables hold phrases of at least ``least`` occurrences only. The best
-of a language are picked in two steps, so that no task sees more than a bounded number of rows per lot.
+A task numbers the words of some documents, shifts the numbers into lead columns and counts equal windows in sorted
+order, a bounded number of words at a time; what leaves it are windows with counts, so a frequent phrase is a few rows
+per task. They are dealt out by their first two words, so windows that share them meet: phrases of two words and more
+are summed where they lie, and ROLLUP over the pairs sums words and totals. Later tables hold phrases of at least ``least`` occurrences only. The best of a language are
+picked in two steps, so that no task sees more than a bounded number of rows per lot.
 
 Defined results: null texts are empty, a null language is 'und'; very long texts count whole; repeated rows count
 each; equal scores are ordered by count, then by the bytes of the phrase; an empty table gives no row. Only the named
@@ -16,55 +18,134 @@ columns are read. Scores are exact integers: products are made in 38 decimal dig
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
-from operator import and_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import ascii_lower, saved
+from larder.llm.common import saved
 
-PIECE_END = "[.,;:!?\\n-\\r]"
-GAP = "[ \\t]+"
+# piece ends become line feeds, tabs become spaces; all are single bytes in UTF-8
+MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
+HELD_WORDS = 2_000_000
+BATCH_ROWS = 100_000
 LOTS = 64
 
 
-def _names(n: int) -> list[str]:
-    return [f"w{i}" for i in range(1, n + 1)]
-
-
-def windows(docs: DataFrame, longest: int = 3, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, w1 .. wN): a row for each word occurrence, with the words that follow it in its piece, else ''."""
-    source = docs.select(
-        F.coalesce(docs[lang].cast("string"), F.lit("und")).alias("lang"),
-        ascii_lower(F.coalesce(docs[text].cast("string"), F.lit(""))).alias("t"),
-    )
-    pieces = source.select("lang", F.explode(F.split("t", PIECE_END)).alias("p")).select("lang", F.btrim("p", F.lit(" \t")).alias("p"))
-    words = pieces.where("p <> ''").select("lang", F.split("p", GAP).alias("w"))
-    # the outer form keeps the optimizer from splitting the piece twice to see that it holds a word
-    each = words.select("lang", "w", F.posexplode_outer("w").alias("at", "w1"))
-    lead = [F.coalesce(F.get("w", F.col("at") + i), F.lit("")).alias(f"w{i + 1}") for i in range(1, longest)]
-    return each.select("lang", "w1", *lead)
+class _Numbers(dict):
+    """Numbers of one language's words, drawn from a list that all languages share."""
+
+    def __init__(self, words: list[bytes], langs: list[int], lang: int):
+        super().__init__({b"\n": 0, b"": -1})
+        self.words, self.langs, self.lang = words, langs, lang
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        self.langs.append(self.lang)
+        return number
+
+
+class _Held:
+    """Windows of the documents seen since the last emptying."""
+
+    def __init__(self, longest: int):
+        self.longest = longest
+        self.reset()
+
+    def reset(self) -> None:
+        self.words: list[bytes] = [b""]  # number 0 ends a piece, and pads
+        self.langs: list[int] = [0]
+        self.names: list[str] = []
+        self.numbers: dict[str, _Numbers] = {}
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, lang: str, text: str) -> None:
+        numbers = self.numbers.get(lang)
+        if numbers is None:
+            numbers = self.numbers[lang] = _Numbers(self.words, self.langs, len(self.names))
+            self.names.append(lang)
+        tokens = text.encode("utf-8").lower().translate(MARKS).replace(b"\n", b" \n ").split(b" ")
+        tokens.append(b"\n")
+        part = np.fromiter(map(numbers.__getitem__, tokens), np.int64, len(tokens))
+        self.parts.append(part[part >= 0])
+        self.size += len(self.parts[-1])
+
+    def counted(self) -> Iterator[pa.RecordBatch]:
+        """(lang, phrase, f) of all held windows, the padding left off."""
+        first = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
+        base, columns = len(self.words), [first]
+        for i in range(1, self.longest):
+            lead = np.append(first[i:], np.zeros(min(i, len(first)), np.int64))
+            lead = np.where(columns[-1] == 0, 0, lead)  # behind the end of a piece is padding only
+            columns.append(lead)
+        opens = first > 0
+        columns = [c[opens] for c in columns]
+        if not len(columns[0]):
+            return
+        # numbers in one integer as far as 63 bits go; beyond, equal heads are numbered anew
+        key, room = columns[0], base
+        for lead in columns[1:]:
+            if room * base >= 1 << 63:
+                heads, key = np.unique(key, return_inverse=True)
+                room = len(heads)
+            key, room = key * base + lead, room * base
+        _, at, count = np.unique(key, return_index=True, return_counts=True)
+        words = pa.array(self.words, pa.binary()).cast(pa.string())
+        names, langs = pa.array(self.names, pa.string()), np.array(self.langs)
+        for start in range(0, len(at), BATCH_ROWS):
+            rows = at[start : start + BATCH_ROWS]
+            lang = names.take(pa.array(langs[columns[0][rows]]))
+            phrase = words.take(pa.array(columns[0][rows]))
+            for c in columns[1:]:
+                word = words.take(pa.array(c[rows]))
+                phrase = pc.if_else(pc.equal(word, ""), phrase, pc.binary_join_element_wise(phrase, word, " "))
+            yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(count[start : start + BATCH_ROWS])], names=["lang", "phrase", "f"])
+
+
+def counted_windows(docs: DataFrame, longest: int = 3, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, phrase, f): windows of word occurrences with as many of the following words as the piece has, and how often
+    each was met (a row per task and some million words). Words hold no spaces, so the text says which they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held(longest)
+        for batch in batches:
+            for name, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.add(name, words.as_py())
+                if held.size >= HELD_WORDS:
+                    yield from held.counted()
+                    held.reset()
+        yield from held.counted()
+
+    source = docs.select(F.coalesce(docs[lang].cast("string"), F.lit("und")), F.coalesce(docs[text].cast("string"), F.lit("")).alias("t"))
+    return source.mapInArrow(run, "lang string, phrase string, f bigint")
 
 
 def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 1, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, m, f) of all phrases of 1 to ``longest`` words with at least ``least`` occurrences, and (lang, n)
     with all word occurrences."""
-    names = _names(longest)
-    # words hold no spaces, so a window is one compact text: its words without the padding
-    window = F.concat_ws(" ", *[F.nullif(F.col(w), F.lit("")) for w in names])
-    top = windows(docs, longest, text, lang).groupBy("lang", window.alias("phrase")).agg(F.count(F.lit(1)).alias("f"))
-    words = F.split("phrase", " ")
-    size = F.size(words)
-    # both branches read one shuffle: a filter that names the count can't slip below it and tell them apart
-    longest_ones = top.where(F.when(size == longest, F.col("f")) >= least).select("lang", "phrase", F.lit(longest).alias("m"), "f")
-    parts = top.select("lang", *[F.coalesce(F.get(words, F.lit(i)), F.lit("")).alias(w) for i, w in enumerate(names[:-1])], "f")
-    # a level of the rollup is a sum over the next longer phrases; rolled-up words are null
-    below = parts.rollup("lang", *names[:-1]).agg(F.sum("f").alias("f"))
-    no_padding = reduce(and_, [F.coalesce(F.col(w) != "", F.lit(True)) for w in names[:-1]], F.lit(True))
-    length = sum((F.col(w).isNotNull().cast("int") for w in names[:-1]), F.lit(0))
-    known = below.where(F.col("lang").isNotNull() & no_padding).select("lang", F.concat_ws(" ", *names[:-1]).alias("phrase"), length.alias("m"), "f")
-    counts = saved(known.where((F.col("f") >= least) | (F.col("m") == 0)).unionByName(longest_ones))
+    if longest < 2:
+        raise ValueError("a phrase has two words at least")
+    head = lambda n: F.substring_index("phrase", " ", n)
+    dealt = counted_windows(docs, longest, text, lang).repartition("lang", head(2)).select("lang", head(2).alias("pair"), "phrase", "f")
+    parts = []
+    # phrases of two words and more are summed without a shuffle, as all windows that share two words lie together; the
+    # filter names the count, so it can't slip below the shuffle, which all levels read
+    for m in range(longest, 1, -1):
+        level = dealt.groupBy("lang", "pair", *([head(m).alias("phrase")] if m > 2 else [])).agg(F.sum("f").alias("f"))
+        phrase = F.col("phrase" if m > 2 else "pair")
+        frequent = level.where(F.when(F.size(F.split(phrase, " ")) == m, F.col("f")) >= least)
+        parts.append(frequent.select("lang", phrase.alias("phrase"), F.lit(m).alias("m"), "f"))
+    # words, their languages and all: a rolled-up word is null
+    sums = level.select("lang", F.substring_index("pair", " ", 1).alias("w1"), "f").rollup("lang", "w1").agg(F.sum("f").alias("f"))
+    known = sums.where(F.col("lang").isNotNull() & ((F.col("f") >= least) | F.col("w1").isNull()))
+    parts.append(known.select("lang", F.coalesce("w1", F.lit("")).alias("phrase"), F.col("w1").isNotNull().cast("int").alias("m"), "f"))
+    counts = saved(reduce(DataFrame.unionByName, parts))
     return counts.where("m > 0"), counts.where("m = 0").select("lang", F.col("f").alias("n"))
 
 
