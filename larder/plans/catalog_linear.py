@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import scalars as S
+from larder.operators import boosting as B
 from larder.operators import linear as L
 from larder.operators import splits as T
 from larder.operators.metrics import residuals
@@ -159,3 +160,66 @@ def c8c(v):
     rows = T.kfold(v.sales.withColumns(S.time_parts("dt")), ["ok", "ln", "sk", "product_id"], 5)
     out = L.cross_validate_linear(rows, CV_MODELS, TARGET, "fold", range(5), expanding=False)
     return rounded(out, "MAE", "RMSE", "R2", digits=6)
+
+
+# ---------------------------------------------------------------- boosted trees, one cut deep
+
+# shelf life is missing for sales on credit terms, so that trees meet missing values
+STUMP_EDGES = ((10.0, 20.0, 30.0, 40.0), (0.025, 0.045, 0.075))
+STUMP_FEATURES = ("shelf", "disc")
+STUMP_RATE, STUMPS = 0.5, 2
+RESIDUAL_SQL = "cast({x} as decimal(18,6))"
+
+
+def stump_rows(v) -> DataFrame:
+    shelf = F.when(F.col("priority") != "5-LOW", F.col("shelf_life").cast("double"))
+    return v.sales.select(*SALE_KEY, shelf.alias("shelf"), "disc", "quantity_sold")
+
+
+def stumps(v, keys: Sequence[str]) -> DataFrame:
+    params = {**B.DEFAULTS, "n_estimators": STUMPS, "max_depth": 1, "learning_rate": STUMP_RATE}
+    rows = stump_rows(v)
+    model = B.fit_boosted(rows, STUMP_FEATURES, "quantity_sold", keys, SALE_KEY, params, STUMP_EDGES)
+    return rounded(B.score_boosted(model, rows).select(*SALE_KEY, "prediction"), "prediction", digits=4)
+
+
+def _stump_sql(key: str) -> str:
+    """Two rounds of trees with one cut each, for every group."""
+    def bins(column: str, edges: Sequence[float]) -> str:
+        return f"case when {column} is not null then " + " + ".join(f"({column} > {e})::int" for e in edges) + " end"
+
+    parts = [
+        f"""base as materialized (select *, row_number() over () rid, {key} k, quantity_sold::double y, {bins('shelf', STUMP_EDGES[0])} b0, {bins('disc', STUMP_EDGES[1])} b1
+  from (select ok, ln, sk, xp, product_id, case when priority <> '5-LOW' then shelf_life::double end shelf, disc, quantity_sold from sales))""",
+        "p0 as materialized (select k, rid, b0, b1, y, round(sum(cast(y as decimal(18,6))) over (partition by k)::double / count(*) over (partition by k), 6) p from base)",
+    ]
+    for t in range(STUMPS):
+        half = "{g} * {g} / ({n} + 1.0::double)"
+        gain = f"{half.format(g='gl', n='nl')} + {half.format(g='gr', n='nr')} - {half.format(g='gt', n='nt')}"
+        parts += [
+            f"""h{t} as (select k, f, b, sum(r) g, count(*) n from (
+  select k, cast(y - p as decimal(18,6)) r, unnest([0, 1]) f, unnest([b0, b1]) b from p{t}) group by all)""",
+            f"""c{t} as (select k, f, b, sum(g) over w gt, sum(n) over w nt, coalesce(sum(g) filter (b is not null) over u, 0) gl, coalesce(sum(n) filter (b is not null) over u, 0) nl,
+  coalesce(sum(g) filter (b is null) over w, 0) gm, coalesce(sum(n) filter (b is null) over w, 0) nm from h{t}
+  window w as (partition by k, f), u as (partition by k, f order by b nulls first rows unbounded preceding))""",
+            f"""d{t} as (select k, f, b, true m, gt::double gt, nt::double nt, (gl + gm)::double gl, (nl + nm)::double nl, (gt - gl - gm)::double gr, (nt - nl - nm)::double nr from c{t} where b is not null
+  union all select k, f, b, false, gt::double, nt::double, gl::double, nl::double, (gt - gl)::double, (nt - nl)::double from c{t} where b is not null)""",
+            f"""s{t} as materialized (select * from (select *, round({gain}, 6) gain, row_number() over (partition by k order by round({gain}, 6) desc, f, b, m desc) nth from d{t} where nl >= 1 and nr >= 1) where nth = 1 and gain > 1e-6)""",
+            f"""t{t} as (select k, sum(g)::double / (sum(n) + 1.0::double) root from h{t} where f = 0 group by k)""",
+            f"""p{t + 1} as materialized (select a.k, rid, b0, b1, y, p + {STUMP_RATE}::double * case when s.k is null then root
+    when coalesce(case f when 0 then b0 else b1 end <= s.b, s.m) then gl / (nl + 1.0::double) else gr / (nr + 1.0::double) end p
+  from p{t} a left join s{t} s on s.k = a.k left join t{t} r on r.k = a.k)""",
+        ]
+    return "with " + ",\n".join(parts) + f"\nselect ok, ln, sk, xp, product_id, round(p, 4) + 0.0 prediction from base join p{STUMPS} using (rid)"
+
+
+@query("M4b_boosted_stumps_per_product", _stump_sql("product_id"), ("sales",))
+def m4b(v):
+    """A model per product, all products in the same jobs."""
+    return stumps(v, ["product_id"])
+
+
+@query("M1b_boosted_stumps_missing", _stump_sql("1"), ("sales",))
+def m1b(v):
+    """One model over the whole table, with missing feature values."""
+    return stumps(v, [])

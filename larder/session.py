@@ -46,15 +46,18 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def forget(*frames: DataFrame) -> None:
     """Delete tables made by ``materialize`` that nothing reads any more."""
     for df in frames:
-        spark = df.sparkSession
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if folder.rsplit("/", 1)[-1].startswith("larder-"):
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(hadoop).delete(path, True)
+                remove(df.sparkSession, folder)
 
 
 def local_session(cores: str = "8", partitions: int = 8, name: str = "larder") -> SparkSession:
