@@ -9,7 +9,7 @@ scan, shared by all folds and models.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 from functools import reduce
@@ -32,9 +32,10 @@ class Linear:
     coefficients: tuple[float, ...]
     n: int
 
-    def predict(self) -> Column:
-        """The prediction of a row; NULL where a feature is."""
-        terms = [F.lit(b) * F.col(c).cast("double") for c, b in zip(self.features, self.coefficients, strict=True)]
+    def predict(self, columns: Mapping[str, Column] | None = None) -> Column:
+        """The prediction of a row, from its columns or those given; NULL where a feature is."""
+        x = columns or {c: F.col(c) for c in self.features}
+        terms = [F.lit(b) * x[c].cast("double") for c, b in zip(self.features, self.coefficients, strict=True)]
         return reduce(add, terms, F.lit(self.intercept))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions import scalars as S
+from larder.operators import clean as C
 from larder.operators import features as X
 from larder.operators import linear as L
 from larder.operators import metrics as M
@@ -285,3 +286,89 @@ def ml3b(v):
 def ml6b(v):
     train, test = weather_sides(v)
     return metrics_of(kept_model(v, train, WEATHER, "quantity_sold", test), test, "quantity_sold")
+
+
+# ---------------------------------------------------------------- headers, roles and literal rows
+
+HEADERS = {
+    "quantity_sold": " Quantity--Sold ", "dt": "SALES Date", "expiry": "Expiry.Date", "product": "Product", "brand": "brand (name)", "holiday": "Holiday?", "disc": "% disc",
+}
+
+
+def odd_headers(v) -> DataFrame:
+    """Sales with headers as people write them, in another order; the day column has a name of its own."""
+    return v.sales.select(*[F.col(f"`{c}`").alias(to) for c, to in sorted(HEADERS.items())])
+
+
+@query(
+    "P2_detect_columns",
+    """select dt date, expiry expiry_date, brand, count(*) n, cast(sum(cast(quantity_sold as decimal(18,2))) as double) quantity from sales where holiday = 1 group by all""",
+    ("sales",),
+)
+def p2(v):
+    """Day, expiry, event flag and brand found by their names in an unknown order of headers."""
+    named = C.normalize_columns(odd_headers(v))
+    day, expiry = C.find_date_column(named), C.detect(named.columns, C.EXPIRY_NAMES)
+    flag, brand = C.detect(named.columns, C.EVENT_NAMES, substring=False), C.detect(named.columns, ("brand",))
+    rows = C.require_columns(named, ["quantity_sold"]).where(F.col(flag) == 1)
+    total = F.sum(F.col("quantity_sold").cast("decimal(18,2)")).cast("double")
+    return rows.groupBy(F.col(day).alias("date"), F.col(expiry).alias("expiry_date"), F.col(brand).alias("brand")).agg(F.count(F.lit(1)).alias("n"), total.alias("quantity"))
+
+
+@query(
+    "P4_required_columns",
+    """select brand, 'accepted' outcome, count(*) n from sales group by 1
+union all select 'without quantity', 'sales lacks columns: quantity_sold', count(*) from sales
+union all select 'without two', 'sales lacks columns: product, quantity_sold', count(*) from sales""",
+    ("sales",),
+)
+def p4(v):
+    """What the check says of the table, and of the table without some of its columns."""
+    named = C.normalize_columns(odd_headers(v))
+    need = ["product", "quantity_sold"]
+    out = C.require_columns(named, need, "sales").groupBy(F.col("brand_name").alias("brand")).agg(F.lit("accepted").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    for label, gone in (("without quantity", ["quantity_sold"]), ("without two", need)):
+        try:
+            C.require_columns(named.drop(*gone), need, "sales")
+        except ValueError as err:
+            out = out.unionByName(named.agg(F.count(F.lit(1)).alias("n")).select(F.lit(label).alias("brand"), F.lit(str(err)).alias("outcome"), "n"))
+    return out
+
+
+@query(
+    "F5_role_split",
+    """select 'quantity_sold' "column", 'numeric' role, cast(sum(cast(quantity_sold as decimal(18,2))) as double) value from sales
+union all select 'shelf_life', 'numeric', sum(shelf_life)::double from sales union all select 'holiday', 'numeric', sum(holiday)::double from sales
+union all select 'product', 'categorical', count(distinct product)::double from sales union all select 'brand', 'categorical', count(distinct brand)::double from sales
+union all select 'discount', 'categorical', count(distinct discount)::double from sales""",
+    ("sales",),
+)
+def f5(v):
+    """Columns by role: the sum of each numeric one, the number of levels of each other, the target's day left out."""
+    rows = v.sales.select("dt", "quantity_sold", "shelf_life", "holiday", "product", "brand", "discount")
+    numeric, other = C.roles(rows, exclude=["dt"])
+    sums = rows.agg(*[F.sum(F.col(c).cast("decimal(18,2)")).cast("double").alias(c) for c in numeric])
+    # levels are counted as rows of distinct values, not in sets
+    tall = rows.select(*other).unpivot([], other, "column", "level").where("level is not null").distinct()
+    levels = tall.groupBy("column").agg(F.count(F.lit(1)).cast("double").alias("value")).withColumn("role", F.lit("categorical"))
+    return sums.unpivot([], numeric, "column", "value").withColumn("role", F.lit("numeric")).unionByName(levels)
+
+
+@query(
+    "SRC4_literal_rows",
+    DISCOUNT_SQL + f"""\nselect id, round({plane(DISCOUNT)}, 6) predicted_discount from
+(values (1, 7, 0, 1, 0, 0), (2, 30, 6, 12, 1, 1), (3, null, 3, 6, 0, 1)) r(id, shelf_life, day_of_week, "month", holiday, event), es""",
+    ("sales",),
+)
+def src4(v):
+    """A few rows typed in by hand, scored by the model of all sales; what is not given is not known."""
+    train, _ = discount_sides(v)
+    like = train.select(F.lit(0).alias("id"), *DISCOUNT)
+    given = [
+        {"id": 1, "shelf_life": 7, "day_of_week": 0, "month": 1, "holiday": 0, "event": 0},
+        {"id": 2, "shelf_life": 30, "day_of_week": 6, "month": 12, "holiday": 1, "event": 1},
+        {"id": 3, "day_of_week": 3, "month": 6, "holiday": 0, "event": 1},
+    ]
+    rows = R.literal_rows(v.spark, given, like)
+    model = kept_model(v, train, DISCOUNT, "discount_pct", rows)
+    return rounded(L.score_linear(model, rows, "predicted_discount").select("id", "predicted_discount"), "predicted_discount")

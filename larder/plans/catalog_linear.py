@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import scalars as S
 from larder.operators import boosting as B
+from larder.operators import importance as P
 from larder.operators import linear as L
 from larder.operators import splits as T
 from larder.operators.metrics import residuals
@@ -109,6 +110,37 @@ def m8b(v):
     return rounded(residuals(scored_rows(v), TARGET, "prediction"), "prediction", "residual", digits=6)
 
 
+SHUFFLE_BUCKETS = 16
+
+
+def _importance_sql() -> str:
+    key = "concat_ws('|', ok, ln, sk, product_id, cents)"
+    every = ", ".join(f'"{c}"' for c in FEATURES)
+    moved = []
+    for i, c in enumerate(FEATURES):
+        over = f"(partition by bucket order by md5(concat_ws('|', '{43 + i}', {key})), {every}"
+        moved.append(f'coalesce(lead("{c}") over {over}), first_value("{c}") over {over} rows unbounded preceding)) z{i}')
+    rmse = "sqrt(avg((quantity_sold - ({p})) * (quantity_sold - ({p}))))"
+    errors = [rmse.format(p=_plane(FEATURES)) + " rmse"]
+    for i, c in enumerate(FEATURES):
+        errors.append(rmse.format(p=_plane(FEATURES).replace(f'b{i} * "{c}"', f"b{i} * z{i}")) + f" e{i}")
+    rows = " union all ".join(f"select '{c}' feature, rmse, e{i} e from errors" for i, c in enumerate(FEATURES))
+    return FIT_SQL + f""",
+bucketed as (select *, {WORD.format(h=HASH.format(k=key))} % {SHUFFLE_BUCKETS} bucket from (select *, cast(round(xp * 100) as bigint) cents from rows_ where u < {TEST_SHARE})),
+moved as (select *, {', '.join(moved)} from bucketed),
+errors as (select {', '.join(errors)} from moved, {_SOLVED})
+select feature, round(rmse, 6) rmse, round(e, 6) shuffled_rmse, round(e - rmse, 6) + 0.0 importance from ({rows})"""
+
+
+@query("M7b_permutation_importance", _importance_sql(), ("sales",))
+def m7b(v):
+    rows = split_rows(v)
+    model = L.fit_linear(rows.where("split = 'train'"), FEATURES, TARGET)
+    test = rows.where("split = 'test'").withColumn("cents", F.round(F.col("xp") * 100).cast("bigint"))
+    out = P.permutation_importance(test, model.predict, FEATURES, TARGET, ["ok", "ln", "sk", "product_id", "cents"], buckets=SHUFFLE_BUCKETS)
+    return rounded(out, "rmse", "shuffled_rmse", "importance", digits=6)
+
+
 def _cv_sql(expanding: bool, folds: Sequence[int], rows: str) -> str:
     every = list(dict.fromkeys(c for f in CV_MODELS.values() for c in f))
     columns = [*every, TARGET]
