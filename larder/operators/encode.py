@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.operators.ordered import quantile_values
+from larder.operators.ordered import quantile_values, running_counts
 
 
 def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
@@ -122,3 +122,32 @@ def feature_stages(
 
 def feature_pipeline(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), **kw) -> Pipeline:
     return Pipeline(stages=feature_stages(train, numeric, categorical, **kw))
+
+
+def level_table(df: DataFrame, col: str) -> DataFrame:
+    """(level, index) of all levels in alphabetical order. Stays a table: no level reaches the driver."""
+    text = df.select(F.col(col).cast("string").alias("level"))
+    return running_counts(text, "level").select("level", F.col("index").cast("bigint").alias("index"))
+
+
+def level_index(df: DataFrame, col: str, levels: DataFrame, out: str) -> DataFrame:
+    """Rows with the index of their level, by a join: NULL for an unseen or missing one. A level that holds much of the
+    table makes one skewed partition, which Spark splits; a small dictionary is broadcast by its measured size."""
+    names = levels.select(F.col("level").alias("_level"), F.col("index").alias(out))
+    return df.join(names, F.col(col).cast("string") == F.col("_level"), "left").drop("_level")
+
+
+def sparse_one_hot(df: DataFrame, col: str, levels: DataFrame, out: str, drop_first: bool = False) -> DataFrame:
+    """A sparse 0/1 vector per row with a place for each fitted level (the first left out on request). Unseen and missing
+    levels are all zero. The plan has one join and one encoder however many levels there are."""
+    size = levels.count() - drop_first
+    place = f"_{out}_place"
+    at = F.col(place) - int(drop_first)
+    rows = level_index(df, col, levels, place)
+    # the place behind the last is the one that the encoder drops
+    rows = rows.withColumn(place, F.when(at >= 0, at).otherwise(F.lit(size)).cast("double"))
+    rows = rows.withColumn(place, F.coalesce(place, F.lit(float(size))))
+    attributes = {"ml_attr": {"type": "nominal", "num_vals": size + 1, "name": place}}
+    named = rows.withColumn(place, F.col(place).alias(place, metadata=attributes))
+    encoder = OneHotEncoder(inputCols=[place], outputCols=[out], dropLast=True).fit(named)
+    return encoder.transform(named).drop(place)

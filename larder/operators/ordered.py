@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.scalars import number
+from larder.session import materialize
 
 HOT_ROWS = 2_000_000
 HOT_LIMIT = 5_000
@@ -61,7 +62,8 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: f
 
     ``order[0]`` is a date and ``order[1]``, if given, an integer column; the rest only breaks ties.
     Rows with a NULL key belong to no group, so they are spread by hash. With no keys the whole table is
-    one hot group.
+    one hot group. Where a single value of the tie-break holds a crowded day, its rows are a piece of their own, cut
+    again by ranges of ``order[2]`` if that is an integer.
     """
     day = order[0]
     if keys:
@@ -86,12 +88,42 @@ def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: f
         )
         tagged = tagged.join(crowded, [*keys, day], "left")
         step = F.expr(f"(cast(`{tie}` as decimal(38,0)) - _lo) div _width")
+        if len(order) > 2 and isinstance(df.schema[order[2]].dataType, T.IntegralType):
+            tagged, step = _cut_ties(tagged, inside.join(crowded.select(*keys, day), [*keys, day], "left_semi"), keys, order, limit, step)
         part = part.when(F.col("_hot"), F.coalesce(step, F.lit(-1)))
     else:
         part = part.when(F.col("_hot"), F.lit(0))
     # undated rows form the first chunk, as NULL sorts first
     chunk_day = F.when(F.col("_hot"), F.coalesce(F.col(day), F.lit("0001-01-01").cast("date")))
-    return tagged.withColumns({"_day": chunk_day, "_part": part.cast("bigint")}).drop("_lo", "_width")
+    return tagged.withColumns({"_day": chunk_day, "_part": part.cast("bigint")}).drop("_lo", "_width", "_ties", "_lo2", "_width2")
+
+
+def _cut_ties(
+    tagged: DataFrame, crowded_rows: DataFrame, keys: Sequence[str], order: Sequence[str], limit: float, step: Column
+) -> tuple[DataFrame, Column]:
+    """Piece numbers that set apart each tie-break value with more than ``limit`` rows of a crowded day.
+
+    There are at most HOT_LIMIT such values. Inside a range of the tie-break the rows below, at and above such a
+    value get growing numbers; those at it are cut by ranges of the next tie-break.
+    """
+    day, tie, nxt = order[:3]
+    cell = [*keys, day, tie]
+    held = _small(
+        crowded_rows.filter(F.col(tie).isNotNull()).groupBy(*cell)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(nxt).alias("_lo2"), F.max(nxt).alias("_hi2"))
+        .filter(F.col("_n") > limit)
+        .select(
+            *cell, F.col("_lo2").cast("decimal(38,0)").alias("_lo2"),
+            F.expr(f"(cast(_hi2 as decimal(38,0)) - _lo2) div ceil(_n / {limit!r}D) + 1").alias("_width2"),
+        )
+    )
+    ties = F.broadcast(held.groupBy(*keys, day).agg(F.array_sort(F.collect_list(F.col(tie).cast("decimal(38,0)"))).alias("_ties")))
+    tagged = tagged.join(ties, [*keys, day], "left").join(held, cell, "left")
+    mine = F.col(tie).cast("decimal(38,0)")
+    below = F.coalesce(F.size(F.filter("_ties", lambda t: t < mine)), F.lit(0))
+    inner = F.coalesce(F.expr(f"(cast(`{nxt}` as decimal(38,0)) - _lo2) div _width2"), F.lit(-1))
+    place = F.greatest(below, F.lit(0)) * 2 + F.col("_lo2").isNotNull().cast("int")
+    return tagged, (step.cast("bigint") * (2 * HOT_LIMIT + 2) + place) * 1_000_000 + F.when(F.col("_lo2").isNull(), 0).otherwise(inner + 1)
 
 
 def series_features(
@@ -177,19 +209,25 @@ def positions(
     ).select(*df.columns, pos, total)
 
 
-def value_bucket(df: DataFrame, value: str, prefix: int = 3) -> Column:
-    """A coarse key that grows with the value: month of a date, first letters of a text, and for
-    numbers equal steps of ``sign(x) * log(1 + |x|)``. The number of keys is bounded by the type."""
+def value_bucket(df: DataFrame, value: str) -> Column:
+    """A coarse key that grows with the value: month of a date, and for numbers equal steps of
+    ``sign(x) * log(1 + |x|)``. The number of keys is bounded by the type."""
     c, kind = F.col(value), df.schema[value].dataType
     if isinstance(kind, T.DateType):
         return F.year(c) * 12 + F.month(c)
-    if isinstance(kind, T.StringType):
-        return F.substring(c, 1, prefix)
     c = c.cast("double")
     return F.floor(F.signum(c) * F.log1p(F.abs(c)) * BUCKETS_PER_UNIT)
 
 
-def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), prefix: int = 3) -> DataFrame:
+def text_buckets(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """The table with ``_bucket``, a number that grows with the text: Spark samples the texts for range borders, so
+    names that share a long prefix are spread like any others. Written, as the borders must hold for all readers."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(tasks, *[F.col(c) for c in [*by, value]])
+    return materialize(ranged.withColumn("_bucket", F.spark_partition_id()))
+
+
+def running_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct non-NULL value: its count ``n``, the rows ``before`` it, the distinct
     values before it (``index``) and the ``total``.
 
@@ -197,12 +235,11 @@ def running_counts(df: DataFrame, value: str, by: Sequence[str] = (), prefix: in
     The running sum works inside value buckets in parallel; only bucket totals meet in one place.
     """
     by = list(by)
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_bucket", value_bucket(df, value, prefix))
-    )
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    if isinstance(df.schema[value].dataType, T.StringType):
+        counts = text_buckets(counts, by, value)
+    else:
+        counts = counts.withColumn("_bucket", value_bucket(df, value))
     sizes = counts.groupBy(*by, "_bucket").agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_v"))
     earlier = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     moved = sizes.select(

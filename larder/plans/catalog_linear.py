@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.functions import scalars as S
 from larder.operators import boosting as B
+from larder.operators import encode as E
 from larder.operators import importance as P
 from larder.operators import linear as L
 from larder.operators import splits as T
@@ -16,6 +17,7 @@ from larder.operators.metrics import residuals
 from larder.plans.catalog_series import HASH, ORDER, ORDER_SQL, WORD, rounded
 from larder.plans.registry import query
 from larder.plans.views import SALE_KEY
+from larder.session import materialize
 
 FEATURES = ("shelf_life", "unit_price", "disc", "dow", "month", "holiday", "event")
 CV_MODELS = {"price": ("unit_price", "disc"), "calendar": ("dow", "month", "holiday"), "all": FEATURES}
@@ -255,3 +257,33 @@ def m4b(v):
 def m1b(v):
     """One model over the whole table, with missing feature values."""
     return stumps(v, [])
+
+
+# ---------------------------------------------------------------- many levels, crowded tie-breaks
+
+
+@query(
+    "F3b_many_levels",
+    """with r as (select ok, ln, sk, xp, product_id, concat(product, ' / ', ok % 40) lvl from sales), d as (select lvl, row_number() over (order by lvl) - 1 i from (select distinct lvl from r))
+select ok, ln, sk, xp, product_id, i place, (select count(*) from d) size from r join d using (lvl)""",
+    ("sales",),
+)
+def f3b(v):
+    """A level for nearly every row: a sparse vector each, made by joins with the dictionary."""
+    rows = v.sales.select(*SALE_KEY, F.concat(F.col("product"), F.lit(" / "), (F.col("ok") % 40).cast("string")).alias("lvl"))
+    coded = E.sparse_one_hot(rows, "lvl", materialize(E.level_table(rows, "lvl")), "hot")
+    # a sparse vector shows as (size,[place],[1.0])
+    shown = F.split(F.regexp_replace(F.col("hot").cast("string"), "[^0-9.]+", " "), " ")
+    return coded.select(*SALE_KEY, F.get(shown, F.lit(2)).cast("bigint").alias("place"), F.get(shown, F.lit(1)).cast("bigint").alias("size"))
+
+
+@query(
+    "C7c_time_series_blocks_hot_ties",
+    """with r as (select ok, ln, sk, xp, product_id, row_number() over (order by dt, holiday, ok, ln, sk, xp, product_id) r, count(*) over () n from sales), z as (select *, n // 4 z from r)
+select ok, ln, sk, xp, product_id, cast(greatest(0, ceil((r - (n - 3*z))/z)) as int) block from z""",
+    ("sales",),
+)
+def c7c(v):
+    """A tie-break with two values, so that one of them holds most of a crowded day."""
+    rows = v.sales.select(*SALE_KEY, "dt", "holiday")
+    return T.time_series_blocks(rows, ["dt", "holiday", "ok", "ln", "sk", "xp", "product_id"], 3, hot_rows=10).drop("dt", "holiday")

@@ -77,6 +77,15 @@ def m4(v):
     return B.forecast_products(forecast_input(v), brand_params(v), NEXT_DAY, 10, order, defaults=SMALL)
 
 
+@query("M4c_forecast_every_product")
+def m4c(v):
+    """A model for each product, with the parameters of its brand."""
+    sales = v.canonical.withColumn("discount", S.percent("discount", 100))
+    brands = v.table("part").select(F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("brand"))
+    params = brands.join(v.params, "brand").drop("brand").withColumn("n_estimators", F.lit(4))
+    return B.forecast_products(sales, params, NEXT_DAY, 10, ["date", "ok", "ln", "sk", "xp"], defaults=SMALL)
+
+
 @query(
     "M4t_trend_forecast",
     f"""with r as (select *, row_number() over (partition by product_id order by {ORDER_SQL}) r, count(*) over (partition by product_id) n from moves),
