@@ -43,6 +43,18 @@ def raw_words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Inner names that no column of the table has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 SMALL = 500_000
 
 

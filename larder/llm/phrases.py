@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import WORD_BREAK, ascii_lower, forget, raw_words, saved, small
+from larder.llm.common import WORD_BREAK, ascii_lower, forget, free, raw_words, saved, small
 
 
 def _split(text: Column) -> Column:
@@ -111,5 +111,6 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: s
 def decontaminate(docs: DataFrame, items: DataFrame, length: int = 10, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without any window of the items; all columns as they are."""
     found, _ = occurrences(docs, items, length, 0, doc_id, text)
-    marked = docs.withColumn("_d", F.coalesce(docs[doc_id].cast("bigint"), F.lit(-(2**63)))).withColumn("_t", F.xxhash64(docs[text].cast("string")))
-    return marked.join(found.select("_d", "_t"), ["_d", "_t"], "left_anti").select(*docs.columns)
+    d, t = free(docs, "_d", "_t")
+    marked = docs.withColumns({d: F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))), t: F.xxhash64(F.col(text).cast("string"))})
+    return marked.join(found.select(F.col("_d").alias(d), F.col("_t").alias(t)), [d, t], "left_anti").select(*docs.columns)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import saved
+from larder.llm.common import free, saved
 from larder.llm.components import components
 
 SEED = 42
@@ -221,6 +221,7 @@ def one_of_each(docs: DataFrame, size: int = 3, bits: int = 3, doc_id: str = "do
     with all its columns."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("first")
     stay = saved(classes(docs, size, bits, doc_id, text).groupBy("component").agg(first).select("first.doc_id", "first.tie"))
-    named = docs.withColumn("_tie", F.xxhash64(docs[text].cast("string"))).withColumn("_id", docs[doc_id].cast("bigint"))
-    kept = named.join(stay.toDF("_keep", "_with"), (F.col("_tie") == F.col("_with")) & F.col("_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.dropDuplicates(["_id", "_tie"]).select(*docs.columns)
+    row, tie, keep, with_ = free(docs, "_id", "_tie", "_keep", "_with")
+    named = docs.withColumns({tie: F.xxhash64(F.col(text).cast("string")), row: F.col(doc_id).cast("bigint")})
+    kept = named.join(stay.toDF(keep, with_), (F.col(tie) == F.col(with_)) & F.col(row).eqNullSafe(F.col(keep)), "left_semi")
+    return kept.dropDuplicates([row, tie]).select(*docs.columns)

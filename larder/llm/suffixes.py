@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import forget, saved, small
+from larder.llm.common import SMALL, forget, free, saved
 
 LENGTH = 200
 MOST = 4_000  # different blocks of a bucket that one task compares
@@ -313,10 +313,15 @@ def _kept(whole: bytes, starts, ends) -> bytes:
     return b"".join([whole[a:b] for a, b in zip(at, [*starts, len(whole)], strict=True)])
 
 
-def _with_spans(docs: DataFrame, length: int, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def _with_spans(docs: DataFrame, length: int, doc_id: str, text: str) -> tuple[DataFrame, str, str]:
+    """The documents with the first and last bytes of their spans, in columns of the names returned."""
     found = spans(docs, length, doc_id, text)
-    rows = docs.withColumn("_d", F.coalesce(docs[doc_id].cast("bigint"), F.lit(-(2**63)))).withColumn("_t", F.xxhash64(docs[text].cast("string")))
-    return rows.join(small(found), ["_d", "_t"], "left"), found
+    d, t, starts, ends = free(docs, "_d", "_t", "starts", "ends")
+    rows = docs.withColumns({d: F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-(2**63))), t: F.xxhash64(F.col(text).cast("string"))})
+    # broadcast only if all spans, not only the rows that hold them, are few
+    few = (found.agg(F.sum(F.size("starts"))).first()[0] or 0) <= SMALL
+    named = found.toDF(d, t, starts, ends)
+    return rows.join(F.broadcast(named) if few else named, [d, t], "left"), starts, ends
 
 
 def digest(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -332,7 +337,7 @@ def digest(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text:
                 out.append((len(whole), len(whole) - len(kept), 0 if starts is None else len(starts), hashlib.sha256(kept).hexdigest()))
             yield pd.concat([batch[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256"])], axis=1)
 
-    joined, _ = _with_spans(docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("text")), length, "doc_id", "text")
+    joined, _, _ = _with_spans(docs.select(docs[doc_id].cast("bigint").alias("doc_id"), docs[text].cast("string").alias("text")), length, "doc_id", "text")
     return joined.select("doc_id", "text", "starts", "ends").mapInPandas(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
@@ -344,6 +349,6 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id
         for batch in batches:
             yield pd.Series([None if x is None else _kept(x.encode(), s, e).decode("utf-8", "ignore") for x, s, e in zip(batch["text"], batch["starts"], batch["ends"], strict=True)])
 
-    joined, _ = _with_spans(docs, length, doc_id, text)
-    shorter = F.pandas_udf(run, "string")(F.struct(F.col(text).cast("string").alias("text"), "starts", "ends"))
-    return joined.withColumn(text, F.when(F.col("starts").isNull(), F.col(text)).otherwise(shorter)).select(*docs.columns)
+    joined, starts, ends = _with_spans(docs, length, doc_id, text)
+    shorter = F.pandas_udf(run, "string")(F.struct(F.col(text).cast("string").alias("text"), F.col(starts).alias("starts"), F.col(ends).alias("ends")))
+    return joined.withColumn(text, F.when(F.col(starts).isNull(), F.col(text)).otherwise(shorter)).select(*docs.columns)

@@ -2,7 +2,8 @@
 
 Examples are a bounded sample of labelled rows (about ``MAX_TOXIC`` and ``MAX_CLEAN``, drawn by a hash of the id;
 all rows where there are fewer). The terms are words and word beginnings of 4 to 6 characters; those that go with
-the label in the examples by a chi-square test make the vocabulary (at most ``MAX_TERMS``). Examples with similar
+the label in the examples by a chi-square test make the vocabulary (at most ``MAX_TERMS``; what a term has to reach
+shrinks with few examples). Examples with similar
 main terms are neighbours in the index, which keeps the largest weight of each term in each block of examples: a
 query adds these to a bound for each block, reads blocks in falling order of the bound and stops once no block can
 hold a nearer example, so the K nearest are exact (ties: the smaller doc_id). Their votes, weighted by similarity
@@ -31,6 +32,8 @@ from larder.llm.common import saved
 
 MAX_TOXIC, MAX_CLEAN = 6_000, 12_000
 MAX_TERMS = 4_096
+# a term must be in a quarter of as many examples as there are toxic ones (3 at least) and reach a fifth of the largest
+# chi-square that the examples allow, up to these figures
 LEAST_DF, LEAST_CHI2, LEAST_RATIO = 8, 25.0, 4.0
 NEAREST = 15
 BLOCK = 64
@@ -187,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     expected = df * toxic / n
     chi2 = (a - expected) ** 2 * n * n / (df * (n - df + 1e-9) * toxic * max(clean, 1) / n)
     ratio = ((a + 0.5) / (toxic + 1.0)) / ((b + 0.5) / (clean + 1.0))
-    terms = total.withColumn("df", df).withColumn("chi2", chi2).where((df >= LEAST_DF) & (F.col("chi2") >= LEAST_CHI2) & ((ratio >= LEAST_RATIO) | (ratio <= 1 / LEAST_RATIO)))
+    least_df, least_chi2 = min(LEAST_DF, max(3, -(-toxic // 4))), min(LEAST_CHI2, n / 5)
+    terms = total.withColumn("df", df).withColumn("chi2", chi2).where((df >= least_df) & (F.col("chi2") >= least_chi2) & ((ratio >= LEAST_RATIO) | (ratio <= 1 / LEAST_RATIO)))
     best = terms.orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).select("term", "df").collect()
     vocabulary = {r["term"]: i for i, r in enumerate(best)}
     idf = np.array([np.log((n + 1) / (r["df"] + 1)) + 1 for r in best])

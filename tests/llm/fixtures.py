@@ -4,6 +4,9 @@ import random
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, tie string, shard int"
 
+#: names that stages use inside, as columns of a table: what stands in them must come out as it went in
+INNER = ["_d", "_t", "_id", "_tie", "_keep", "_with", "starts", "ends", "_D_", "leaf", "hits", "runs", "_text", "_y", "component", "window"]
+
 
 def texts():
     rng = random.Random(7)

@@ -137,3 +137,20 @@ def test_pipeline(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         kept = stage(spark, kept, str(tmp_path))
         assert kept.columns == docs.columns
+
+
+def test_six_toxic_labels_are_enough_for_a_vocabulary(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(140):
+        words, toxic = [word() for _ in range(40)], i % 10 == 0
+        if toxic:
+            words[2::7] = ["scumbag", "vermin"] * 3
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    index = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    assert sum(index.toxic) <= 12
+    got = {r.doc_id: r for r in toxicity.score(docs, index).collect()}
+    held = [i for i in got if got[i].held_out]
+    assert sum(got[i].predicted != (i % 10 == 0) for i in held) <= 1 and any(i % 10 == 0 for i in held)
