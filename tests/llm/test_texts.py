@@ -59,6 +59,39 @@ def test_main_text_keeps_body_text_in_boxes_with_noisy_names():
     assert html_text.main_text(f"<body><div class=comments><p>{long}</p></div></body>") == ""
 
 
+def test_main_text_leaves_out_short_boxes_in_the_article():
+    long, sentence = ("word " * 300).strip(), "Please read this plain sentence before you go on."
+    page = f"<body><nav>Menu</nav><article><h1>T</h1><p>{long}</p>{{}}<p>end</p></article><footer>f</footer></body>"
+    want = f"T\n\n{long}\n\nend"
+    names = ("notice", "site-notice", "replies", "reply", "discussion", "banner", "overlay", "related", "copyright", "legal", "search", "post-comments", "article-ad")
+    for name in [f"class={n}" for n in names] + ["id=consent", "id=login", "id=comments", "role=alert"]:
+        assert html_text.main_text(page.format(f"<div {name}>{sentence}</div>")) == want, name
+        assert html_text.main_text(page.format(f"<div {name}><p>{sentence}</p></div>")) == want, name
+    assert html_text.main_text(page.format(f"<p class=legal>{sentence}</p>")) == want
+    more = ("more " * 150).strip()
+    for box in (f"<div class=legal><p>{more}</p></div>", f"<section id=discussion><p>{more}</p></section>", f"<h2 id=login>{more}</h2>", f"<h2 class=legal>{more}</h2>", f"<p id=notice>{more}</p>", f"<p>{more[:-4]}<span class=notice>more</span></p>"):
+        assert html_text.main_text(page.format(box)) == f"T\n\n{long}\n\n{more}\n\nend", box
+
+
+def test_main_text_keeps_title_lead_and_sibling_articles():
+    long, linked = ("word " * 300).strip(), "<p><a href=x>Home</a></p>"
+    text = html_text.main_text
+    assert text(f"<main>{linked}<h1>Head</h1><p>lead</p><article><p>{long}</p></article></main>") == f"Head\n\nlead\n\n{long}"
+    assert text(f"<main>{linked}<article><h1>Head</h1><p>{long}</p></article><p>Another site text</p></main>") == f"Head\n\n{long}"
+    header = "<header><nav>n</nav><div><h1>Title <a href=x>one</a></h1></div><p>By nobody</p></header>"
+    assert text(f"<body><header><h1>Site</h1></header><article>{header}<p>{long}</p></article></body>") == f"Title one\n\n{long}"
+    assert text(f"<main>{header}<p>{long}</p></main>") == f"Title one\n\n{long}"
+    assert text(f"<body><article><p>{long}</p></article><article><p>rest</p></article><article>{linked}</article></body>") == f"{long}\n\nrest"
+    said = "".join(f"<li><article class=comment-body><p>{long}</p></article>" for _ in range(3))
+    for box in (f"<div id=comments><ol class=comment-list>{said}</ol></div>", f"<ol>{said}</ol>"):
+        assert text(f"<body><div><article><h1>T</h1><p>{long}</p></article>{box}</div></body>") == f"T\n\n{long}", box
+        assert text(f"<body><article><h1>T</h1><p>{long}</p>{box}</article></body>") == f"T\n\n{long}", box
+    assert text(f"<body class=has-comments><div class=comments-open><article><p>{long}</p></article></div></body>") == long
+    began = time.process_time()
+    assert text("<main>t<article>" + "<div><a href=x>y</a>" * 20_000).startswith("t\n\ny")
+    assert time.process_time() - began < 10
+
+
 def test_extract_keeps_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a&amp;b", "t", 5), (2, None, None, "t", 5), (1, "u", "<p>a&amp;b", "t", 5), (None, "v", "", None, None)], "page_id long, url string, html string, text string, n_chars int")
     got = sorted((str(r.page_id), r.text, r.n_chars) for r in html_text.extract(pages).collect())
