@@ -198,6 +198,52 @@ def test_groups_go_whole_while_a_shard_has_room(spark, monkeypatch):
         assert [on(g) for g in range(100, 170)] == [1] * 70
 
 
+def test_labels_follow_the_current_placement(spark):
+    """Two hubs want shard 0, which has room for the rest of one; the other hub's label moves on in a later round."""
+    start = [(g, 7, s, at) for g in "ab" for s, at in ((0, 3), (1, 2), (2, 2))]
+    now = sharding.saved(spark.createDataFrame(start, "group string, n long, shard int, at long"))
+    room, trace = [4, 9, 9], []
+    end = sorted(map(tuple, sharding.propagate(now, room, trace=trace).collect()))
+    assert len(end) == 2 and all(n == at == 7 for _, n, _, at in end) and len(trace) >= 2
+    assert len({s for _, _, s, _ in end}) == 2  # both started with most votes for shard 0
+    assert any(n != at for _, n, _, at in trace[0])  # one round can't serve both
+    before, after = [6, 4, 4], [sum(at for _, _, s, at in end if s == x) for x in range(3)]
+    assert room == [r + b - a for r, b, a in zip([4, 9, 9], before, after, strict=True)] and min(room) >= 0
+
+
+def test_propagation_under_tight_quotas(spark):
+    rng = np.random.default_rng(9)
+    start, shards = [], 6
+    for g in range(400):
+        n = int(rng.integers(2, 7))
+        for s, at in sorted(Counter(rng.integers(0, shards, n).tolist()).items()):
+            start.append((f"g{g}", n, s, at))
+    held = [sum(at for _, _, s, at in start if s == x) for x in range(shards)]
+    for slack in (40, 0, -3):  # room to spare, none, and one shard that holds too much
+        room = [slack] * shards if slack >= 0 else [slack, *[1] * (shards - 1)]
+        table = spark.createDataFrame(start, "group string, n long, shard int, at long")
+        free, trace = list(room), []
+        end = [tuple(r) for r in sharding.propagate(sharding.saved(table), free, trace=trace).collect()]
+        total = Counter()
+        for g, _, _, at in end:
+            total[g] += at
+        assert {(g, total[g]) for g in total} == {(g, n) for g, n, _, _ in start}
+        now = [sum(at for _, _, s, at in end if s == x) for x in range(shards)]
+        assert free == [r + h - x for r, h, x in zip(room, held, now, strict=True)]
+        assert all(f >= min(r, 0) for f, r in zip(free, room, strict=True))
+        whole = sum(n == at for _, n, _, at in end)
+        assert whole >= (400 if slack == 40 else 300), (slack, whole, len(trace))
+    docs = [(f"g{g}", i) for g, n in {(g, n) for g, n, _, _ in start} for i in range(n)]
+    table = spark.createDataFrame([(i, g) for i, (g, _) in enumerate(sorted(docs))], "doc_id long, text string")
+    got = sharding.assign(table, 5).collect()  # every document is linked
+    sizes = Counter(r.shard for r in got)
+    assert sorted(r.doc_id for r in got) == list(range(len(docs))) and max(sizes.values()) - min(sizes.values()) <= 1
+    where = {}
+    for r in got:
+        where.setdefault(r.text_crc32, set()).add(r.shard)
+    assert sum(len(x) > 1 for x in where.values()) <= 10  # only what must be torn for equal counts
+
+
 def test_place_cuts_only_what_does_not_fit():
     room = {s: 100 for s in range(4)}
     made = sharding.place([(g, 60) for g in "abcde"], {"a": {2: 9}}, room)
