@@ -1,11 +1,12 @@
 """Packing token sequences by non-negative least squares over length combinations.
 
 Documents are tokenized where they lie; each is cut into full windows and one rest. Only the histogram of rest
-lengths (at most ``window`` - 1 numbers, whatever the corpus) goes to the driver. There, shallow combinations of
-lengths that fill a window exactly (pairs and triples) are enumerated, their repeat counts solved by non-negative
-least squares against the histogram and rounded down; a few rounds on what remains use other triples, and the
-last rests are packed greedily, longest first with the longest that still fits. The outcome is a short list of
-recipes (lengths and how often); a piece finds its sequence by its number among the pieces of its length.
+lengths (at most ``window`` - 1 numbers, whatever the corpus) goes to the driver. There, all pairs and triples of
+lengths at hand that fill a window exactly are enumerated (about ``window`` squared / 12), their repeat counts solved by
+non-negative least squares against the histogram and rounded down; further rounds do the same with what remains as long
+as that places pieces, and the last rests are packed greedily, longest first with the longest that still fits. The
+outcome is a short list of recipes (lengths and how often); a piece finds its sequence by its number among the pieces of
+its length.
 
 Defined results: null and empty texts have only the end id; repeated rows are packed each for itself; documents are
 taken in the order of doc_id, text digest within a length; an empty table gives no piece. Only the named columns are
@@ -84,51 +85,64 @@ def token_pieces(docs: DataFrame, vocabulary: str, window: int, doc_id: str = "d
     return source.mapInPandas(run, "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, tie bigint" + (", ids binary" if ids else ""))
 
 
-def combinations(left: np.ndarray, window: int, triples: int, rng: np.random.Generator) -> list[tuple[int, ...]]:
-    """Pairs that fill the window, and for each length some triples that do, of lengths that are left."""
+def combinations(left: np.ndarray, window: int) -> np.ndarray:
+    """All pairs and triples of lengths that are left and fill the window, longest first; a pair ends with 0."""
     have = np.nonzero(left)[0]
-    found = {(int(a), window - int(a)) for a in have if a >= window - a and left[window - a]}
-    weights = left[have] / max(1, left[have].sum())
+    there = left > 0
+    there[0] = True  # no third length
+    found = [np.empty((0, 3), np.int64)]
     for a in have.tolist():
-        for b in rng.choice(have, size=triples, p=weights).tolist():
-            c = window - a - b
-            if c > 0 and left[c]:
-                found.add(tuple(sorted((a, b, c), reverse=True)))
-    return sorted(found)
-
-
-def least_squares(combos: list[tuple[int, ...]], target: np.ndarray, sweeps: int = 60) -> np.ndarray:
-    """Non-negative repeat counts whose summed lengths come nearest to the histogram, by coordinate descent."""
-    parts = [np.unique(c, return_counts=True) for c in combos]
-    norms = [float((n**2).sum()) for _, n in parts]
+        b = have[(have <= a) & (a + have <= window)]
+        c = window - a - b
+        fills = (c <= b) & there[c]
+        found.append(np.stack([np.full(int(fills.sum()), a), b[fills], c[fills]], axis=1))
+    return np.concatenate(found)
+
+
+def least_squares(combos: np.ndarray, target: np.ndarray, passes: int = 400, wide: int = 4096) -> np.ndarray:
+    """Non-negative repeat counts whose summed lengths come nearest to the histogram, by coordinate descent: each pass
+    takes the steepest coordinates that share no length, so all of them may move at once, each to its own best."""
+    a, b, c = combos.T
+    norms = 3.0 - (c == 0) + 2 * ((a == b).astype(int) + ((b == c) & (c > 0))) + 2 * ((a == c) & (c > 0))
     x, rest = np.zeros(len(combos)), target.astype(float)
-    for _ in range(sweeps):
-        moved = 0.0
-        for j, ((where, n), norm) in enumerate(zip(parts, norms, strict=True)):
-            step = max(-x[j], float(rest[where] @ n) / norm)
-            if step:
-                x[j] += step
-                rest[where] -= step * n
-                moved = max(moved, abs(step))
-        if moved < 0.25:
+    rest[0] = 0
+    for _ in range(passes if len(combos) else 0):
+        step = np.maximum(-x, (rest[a] + rest[b] + rest[c]) / norms)
+        size = np.abs(step)
+        if size.max() < 0.25:
             break
+        top = np.argpartition(-size, wide)[:wide] if len(size) > wide else np.arange(len(size))
+        top = top[np.argsort(-size[top], kind="stable")]
+        used, chosen = {0}, []
+        for j, parts in zip(top.tolist(), combos[top].tolist(), strict=True):
+            own = {n for n in parts if n}
+            if used.isdisjoint(own):
+                used |= own
+                chosen.append(j)
+        x[chosen] += step[chosen]
+        np.subtract.at(rest, combos[chosen], step[chosen][:, None])
+        rest[0] = 0
     return x
 
 
-def recipes(histogram: np.ndarray, window: int, rounds: int = 6, triples: int = 6, seed: int = 5) -> list[tuple[tuple[int, ...], int]]:
+def recipes(histogram: np.ndarray, window: int) -> list[tuple[tuple[int, ...], int]]:
     """(lengths, repeats) that use every piece of the histogram (count by length) exactly once."""
-    left, out, rng = histogram.astype(np.int64).copy(), [], np.random.default_rng(seed)
-    for _ in range(rounds):
-        combos = combinations(left, window, triples, rng)
-        if not combos:
-            break
+    left, out = histogram.astype(np.int64).copy(), []
+    placed = True
+    while placed:
+        placed = False
+        combos = combinations(left, window)
         solved = least_squares(combos, left)
         for j in np.argsort(-solved, kind="stable").tolist():
-            where, n = np.unique(combos[j], return_counts=True)
+            if solved[j] < 1 - 1e-6:
+                break
+            recipe = tuple(n for n in combos[j].tolist() if n)
+            where, n = np.unique(recipe, return_counts=True)
             times = int(min(np.floor(solved[j] + 1e-6), (left[where] // n).min()))
             if times > 0:
-                out.append((combos[j], times))
+                out.append((recipe, times))
                 left[where] -= times * n
+                placed = True
     while left.any():
         used, room, recipe = left.copy(), window, []
         while room > 0:
