@@ -88,11 +88,33 @@ def test_neighbours(spark):
     assert neighbours.nearest(table.limit(0)).count() == 0
 
 
+def test_neighbours_of_every_length(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    vectors = {i: rng.standard_normal((16, 8, 3)[0 if i % 10 < 5 else 1 if i % 10 < 8 else 2]) for i in range(400)}
+    vectors |= {i + 1000: rng.standard_normal(3) for i in range(0, 200, 5)}
+    vectors[1020] = vectors[1000]
+    rows = [(i, e.tolist()) for i, e in vectors.items()] + [(2000, [1.0]), (1005, vectors[1005].tolist())]
+    got = {}
+    for crowd in (20_000, 150):  # lengths other than the commonest are searched in blocks; or all but the rarest by graph
+        monkeypatch.setattr(neighbours, "CROWD", crowd)
+        got = {}
+        for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, 4).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        assert set(got) == {i for i in vectors if i % 5 == 0}
+        for q, found in got.items():
+            near = sorted((-float(vectors[q] @ e), i) for i, e in vectors.items() if i != q and len(e) == len(vectors[q]))[:4]
+            found.sort()
+            assert [f[0] for f in found] == [1, 2, 3, 4]
+            assert all(abs(f[2] + n[0]) < 1e-9 for f, n in zip(found, near, strict=True)), q
+            assert len(vectors[q]) == 16 or [f[1] for f in found] == [n[1] for n in near]
+
+
 def test_neighbours_walk_until_none_is_left(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ENTRIES", 1)
     angle = np.linspace(0, 1.4, 18)
     rows = [(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angle)]
-    points, _ = neighbours.points_of(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 1)
+    points, _ = neighbours.points_of(spark.createDataFrame(rows, "id long, e array<double>"), 1)
     links = spark.createDataFrame([(i, i + d, 1.0) for i in range(18) for d in (-1, 1) if 0 <= i + d < 18], "u long, v long, s double")
     ends = points.where("id in (0, 17)").withColumn("q", F.col("id") + 100).select("q", "vec", "half")
     best = {r.q: r.v for r in neighbours.search(points, links, ends, 1, 18).collect()}
