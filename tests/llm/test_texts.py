@@ -184,3 +184,65 @@ def test_rollup_is_idempotent(spark):
     assert rollup.batches() == ["a", "b", "c", "none"]
     with pytest.raises(ValueError):
         rollup.commit("../x", token_counts.inserts(counts))
+    # another writer takes the next version first: its batch stays, and this one is added to its totals
+    before, race = total(), token_counts.Rollup(spark, rollup.folder)
+    publish, turns = race._publish, []
+
+    def late(number, table):
+        if not turns:
+            turns.append(number)
+            rollup.commit("theirs", token_counts.inserts(counts))
+        return publish(number, table)
+
+    race._publish = late
+    assert race.commit("ours", token_counts.inserts(counts)) and rollup.batches() == ["a", "b", "c", "none", "ours", "theirs"]
+    assert total() == {k: (before.get(k, (0, 0))[0] + 2 * n, before.get(k, (0, 0))[1] + 2 * t) for k, (n, t) in direct.items()}
+    assert not race.commit("theirs", token_counts.inserts(counts))
+    race._publish = lambda number, table: 1 / 0  # a writer that breaks off changes nothing
+    now = total()
+    with pytest.raises(ZeroDivisionError):
+        race.commit("broken", token_counts.inserts(counts))
+    assert total() == now and rollup.commit("broken", token_counts.inserts(counts)) and total() != now
+    with pytest.raises(ValueError):
+        token_counts.count_tokens(docs.withColumn("tokens", docs["doc_id"]), paths, keep=("tokens",))
+
+
+def test_token_counts_query_equals_a_plain_count(spark, tmp_path):
+    import base64
+
+    import regex
+
+    from larder.llm import queries
+
+    def plain_count(text, ranks):
+        """Merge the pair of lowest rank, the leftmost first, until none is left."""
+        n = 0
+        for word in regex.findall(public_tokenizers.PATTERN, text):
+            parts = [bytes([b]) for b in word.encode()]
+            while len(parts) > 1:
+                rank, i = min((ranks.get(a + b, float("inf")), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if rank == float("inf"):
+                    break
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            n += len(parts)
+        return n
+
+    docs = documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows, want = docs.collect(), {}
+    first = {}
+    for r in rows:
+        if r.text is not None and r.doc_id is not None:
+            first[r.text] = min(r.doc_id, first.get(r.text, r.doc_id))
+    for version, more in (("byte_bpe_50k", 1), ("byte_bpe_multi_50k", 0)):
+        with open(public_tokenizers.path(f"{version}.tiktoken"), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        for r in rows:
+            if r.doc_id is not None and r.text is not None and r.doc_id != first[r.text]:
+                continue  # a copy
+            n, t = want.get((r.source, r.lang, version), (0, 0))
+            want[r.source, r.lang, version] = n + 1, t + plain_count(r.text or "", ranks) + more
+    got = {(r.source, r.lang, r.tokenizer_version): (r.docs, r.tokens) for r in queries.op2(spark, str(tmp_path)).collect()}
+    assert got == want
+    empty(spark).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert queries.op2(spark, f"{tmp_path}/none").count() == 0
