@@ -7,8 +7,8 @@ moved by the term's offset in the window, are intersected with those of the seco
 by word at its place, with ``slop`` 0 as exact phrase, with more as proximity match: every term within ``slop`` words
 of its place.
 
-The benchmark side (terms, windows) is broadcast only while it is counted to be under ``SMALL`` rows; beyond that the
-joins are ordinary ones. Postings of a frequent term lie in many tasks, and no list of a term is collected.
+The benchmark side (terms, windows) and the names of the candidate documents (two numbers each) are broadcast only while
+they are counted to be at most ``SMALL`` rows; beyond that the joins are ordinary ones. Postings of a frequent term lie in many tasks, and no list of a term is collected.
 
 Defined results: null and empty texts and items have no words, windows or hits. A repeated document row has its own
 result row, equal to its twin's. A null doc_id is a document like any other. Items without an id count for hits but
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import WORD_BREAK, ascii_lower, forget, free, raw_words, saved, small
+from larder.llm.common import SMALL, WORD_BREAK, ascii_lower, forget, free, raw_words, saved, small
 
 
 def _split(text: Column) -> Column:
@@ -79,7 +79,10 @@ def occurrences(docs: DataFrame, items: DataFrame, length: int = 10, slop: int =
     # hits of one document, a bounded list: it has no more starts than words
     grouped = saved(both.distinct().groupBy("_d", "_t").agg(F.collect_list(F.struct("start", "n", "window")).alias("hits")))
 
-    texts = rows.join(grouped.hint("shuffle_hash"), ["_d", "_t"]).dropDuplicates(["_d", "_t"]).select("_d", "_t", "hits", _split(ascii_lower(F.col("text"))).alias("words"))
+    # texts without a candidate stay where they are, as long as the names of the others are few
+    names = grouped.select("_d", "_t")
+    asked = rows.join(F.broadcast(names), ["_d", "_t"], "left_semi") if names.count() <= SMALL else rows
+    texts = asked.join(grouped.hint("shuffle_hash"), ["_d", "_t"]).dropDuplicates(["_d", "_t"]).select("_d", "_t", "hits", _split(ascii_lower(F.col("text"))).alias("words"))
     if slop:
         def fits(h: Column) -> Column:
             asked = F.split(h["window"], " ")

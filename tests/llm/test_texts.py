@@ -151,7 +151,9 @@ def test_contamination(spark):
     assert phrases.contamination(empty(spark), bench).count() == 0
 
 
-def test_proximity(spark):
+@pytest.mark.parametrize("most", [phrases.SMALL, 0])
+def test_proximity(spark, monkeypatch, most):
+    monkeypatch.setattr(phrases, "SMALL", most)
     docs = spark.createDataFrame([(1, "a bb ccc x dddd"), (2, "a bb ccc dddd"), (3, "a x y z bb q r s ccc dddd")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "a bb ccc dddd")], "item_id long, text string")
     near = lambda slop: sorted(r["_d"] for r in phrases.occurrences(docs, bench, 10, slop)[0].select("_d").distinct().collect())
