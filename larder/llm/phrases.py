@@ -82,7 +82,9 @@ def occurrences(docs: DataFrame, items: DataFrame, length: int = 10, slop: int =
     # texts without a candidate stay where they are, as long as the names of the others are few
     names = grouped.select("_d", "_t")
     asked = rows.join(F.broadcast(names), ["_d", "_t"], "left_semi") if names.count() <= SMALL else rows
-    texts = asked.join(grouped.hint("shuffle_hash"), ["_d", "_t"]).dropDuplicates(["_d", "_t"]).select("_d", "_t", "hits", _split(ascii_lower(F.col("text"))).alias("words"))
+    # cut into words below the aggregate: a projection above it would be moved into the test and cut the text for each hit
+    cut = asked.select("_d", "_t", _split(ascii_lower(F.col("text"))).alias("words"))
+    texts = cut.join(grouped.hint("shuffle_hash"), ["_d", "_t"]).dropDuplicates(["_d", "_t"])
     if slop:
         def fits(h: Column) -> Column:
             asked = F.split(h["window"], " ")
@@ -90,8 +92,7 @@ def occurrences(docs: DataFrame, items: DataFrame, length: int = 10, slop: int =
     else:
         def fits(h: Column) -> Column:
             return F.array_join(F.slice(F.col("words"), h["start"] + 1, h["n"]), " ") == h["window"]
-    checked = texts.select("_d", "_t", F.filter("hits", fits).alias("hits")).where(F.size("hits") > 0)
-    done = saved(checked)
+    done = saved(texts.select("_d", "_t", F.filter("hits", fits).alias("hits"))).where(F.size("hits") > 0)
     forget(terms, counted, anchors, rare, index, grouped)
     return done, wins
 
