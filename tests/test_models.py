@@ -115,6 +115,29 @@ def test_forecast_event(spark):
     assert out["event_metrics"].count() == 4
 
 
+def test_event_frame_of_many_windows(spark, monkeypatch):
+    last = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("b", 2)], "product_id string, shelf_life int")
+    days = [(i * 7 % 40, "Fair" if i % 5 else " fair ", date(2024, 1, 1 + i % 20), date(2024, 1, 1 + (i * 3) % 25), 3) for i in range(40)]
+    cal = spark.createDataFrame([*days, (99, "Other", date(2024, 7, 1), date(2024, 7, 9), 9)], "row_id int, event_name string, start_date date, end_date date, duration_days int")
+    codes = spark.createDataFrame([("fair", 4), ("none", 1)], "event_name string, code int")
+    columns = B.event_frame(last, cal, "FAIR", codes)
+    assert isinstance(B.requested_windows(cal, "FAIR"), list)
+    want = sorted(map(str, columns.collect()))
+    monkeypatch.setattr(B, "FEW_WINDOWS", 7)
+    many = B.event_frame(last, cal, "FAIR", codes)
+    assert not isinstance(B.requested_windows(cal, "FAIR"), list) and many.schema.simpleString() == columns.schema.simpleString()
+    assert sorted(map(str, many.collect())) == want and len(want) > 4 * 20
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    turned = spark.createDataFrame([(i, "Fair", date(2024, 1, 2), date(2024, 1, 1), 1) for i in range(9)], cal.schema)
+    for table in (turned, turned.limit(3), turned.limit(0)):
+        with pytest.raises(ValueError):
+            B.event_frame(last, table, "fair", codes)
+    with pytest.raises(ValueError):
+        B.event_frame(last, cal, "fair", codes, manual_start="no day")
+    assert B.event_frame(last, cal, "unheard", codes, manual_start="2024-03-01").count() == 4
+
+
 def test_discount_and_weather_jobs(spark):
     df = planted(spark).withColumns(
         {"discount": (F.col("row_no") % 4 * 10).cast("double"), "product": F.col("product_id"), "total": F.lit(1.0), "temperature_min": F.col("row_no") % 9 * 1.0}
