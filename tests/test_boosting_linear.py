@@ -65,6 +65,30 @@ def test_trees_equal_plain_greedy_ones_in_every_group(spark):
     assert {r["prediction"] for r in B.score_boosted(model, unknown).collect()} == {None}
 
 
+def test_small_groups_grow_in_tasks_as_by_histograms(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = []
+    for g in range(70):
+        for i in range([1, 3, 30, 90][g % 4]):
+            x = [None if rng.random() < 0.1 else float(rng.randint(0, 9)) for _ in range(3)]
+            rows.append((f"g{g}" if g else None, i, *x, round(rng.random() * 50 + (x[0] or 20.0), 2), g % 5, 1 + g % 4, 0.6 + g % 2 * 0.4))
+    df = spark.createDataFrame(rows, "g string, i int, a double, b double, c double, y double, n_estimators int, max_depth int, subsample double")
+    def trees():
+        model = B.fit_boosted(df.repartition(3), ["a", "b", "c"], "y", ["g"], ["i"], {**B.DEFAULTS, "colsample_bytree": 0.6})
+        return sorted(model.trees.collect())
+    monkeypatch.setattr(B, "SMALL_ROWS", 0)
+    want = trees()
+    monkeypatch.setattr(B, "SMALL_ROWS", 40)
+    assert len(want) == 69 and trees() == want
+    monkeypatch.setattr(B, "SMALL_ROWS", 90)
+    monkeypatch.setattr(B, "_one_tree", None)  # no level of a tree is a job of its own
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)  # groups that lie across batches
+    try:
+        assert trees() == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_missing_values_carry_a_signal(spark):
     rng = random.Random(5)
     rows = [(i, None if i % 3 == 0 else rng.random(), rng.random(), 50.0 if i % 3 == 0 else 10.0 + rng.random()) for i in range(600)]
