@@ -95,3 +95,21 @@ def test_sales_with_events(spark):
 def test_typical_duration_takes_smallest_mode(spark):
     cal = spark.createDataFrame([("Fair ", 3), ("fair", 2), ("FAIR", 3), ("fair", 2), ("x", 9)], "event_name string, duration_days int")
     assert rows(C.typical_duration(cal)) == [("fair", 2), ("x", 9)]
+
+
+def test_shuffles_follow_the_size_of_the_tables(spark, sf_dir, monkeypatch):
+    from larder import session
+    from larder.plans.views import Views
+
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    Views(spark, sf_dir)
+    assert spark.conf.get(session.PARTS, None) is None
+    monkeypatch.setattr(session, "PART_BYTES", 10_000)
+    try:
+        df = Views(spark, sf_dir).moves.groupBy("product_id").count()
+        assert int(spark.conf.get(session.PARTS)) > 5 * own and spark.conf.get(session.ADVISORY) == session.TASK_SHUFFLE
+        assert df.count() > 0
+    finally:
+        monkeypatch.undo()
+        Views(spark, sf_dir)
+    assert spark.conf.get(session.PARTS, None) is None and spark.conf.get("spark.sql.shuffle.partitions") == str(own)
