@@ -87,6 +87,22 @@ def test_fit_save_load(spark, tmp_path):
     assert len(names) == 6 and any("P1" in n for n in names)
 
 
+def test_fit_spreads_rows_that_a_task_cannot_hold(spark, monkeypatch):
+    df = planted(spark).coalesce(1)
+    assert D.spread_rows(df, 9) is df
+    monkeypatch.setattr(D, "LEAST_TASK_ROWS", 50)
+    monkeypatch.setattr(D, "TASK_BYTES", 50 * 200)
+    spread = D.spread_rows(df, 12)
+    assert spread.rdd.getNumPartitions() == 8 and spread.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).max() <= 60
+    assert rows(spread) == rows(df)
+    spread.unpersist()
+    held = []
+    grown = D.spread_rows
+    monkeypatch.setattr(D, "spread_rows", lambda r, width: held.append((width, grown(r, width).rdd.getNumPartitions())) or grown(r, width))
+    model = D.fit(df, D.ModelSpec("forest", trees=2, depth=3), "quantity_sold", ["unit_price"], ["product_id"])
+    assert held == [(5, 7)] and D.score(model, df).count() == 400
+
+
 def test_forecast_products(spark):
     short = planted(spark).filter("row_no = 1").withColumn("product_id", F.lit("short"))
     df = planted(spark).unionByName(short)
