@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from conftest import rows
@@ -118,6 +119,19 @@ def test_shuffled_features_are_permutations(spark):
     assert scores["a"] > 100 and abs(scores["noise"]) < 1
 
 
+def test_large_buckets_are_shuffled_in_pieces(spark, monkeypatch):
+    rng = random.Random(2)
+    data = [(i // 2, None if i % 7 == 0 else i % 5, rng.random()) for i in range(600)]  # each key twice
+    df = spark.createDataFrame(data, "id int, a int, noise double")
+    whole = P.shuffled(df, ["a", "noise"], ["id"], buckets=3)
+    assert not re.search(r"_piece", whole._jdf.queryExecution().toString())
+    monkeypatch.setattr(P, "BUCKET_ROWS", 16)
+    cut = P.shuffled(df, ["a", "noise"], ["id"], buckets=3)
+    by = re.findall(r"Exchange hashpartitioning\(([^)]*)", cut._jdf.queryExecution().executedPlan().toString())
+    assert any("_piece" in b for b in by) and not any("_bucket" in b and "_piece" not in b for b in by)
+    assert sorted(map(str, cut.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_many_levels_without_a_driver_list(spark):
     df = spark.range(100_000).select(F.format_string("Product %07d", F.col("id") % 99_999).alias("c"), "id")
     levels = E.level_table(df, "c").cache()
