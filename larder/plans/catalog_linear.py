@@ -180,7 +180,9 @@ folded as (select *, greatest(0, ceil((pos - (n_all - 2 * (n_all // 3))) / (n_al
 )
 def c8b(v):
     """Expanding blocks; block 0 has nothing before it and there is no block 3, so both are rows with an error."""
-    rows = T.time_series_blocks(v.sales.withColumns(S.time_parts("dt")), [*ORDER], 2)
+    # blocks are found in three scans
+    rows = materialize(v.sales.withColumns(S.time_parts("dt")).select(*dict.fromkeys([*ORDER, *FEATURES, TARGET])))
+    rows = T.time_series_blocks(rows, [*ORDER], 2)
     out = L.cross_validate_linear(rows, CV_MODELS, TARGET, "block", (0, 1, 2, 3), expanding=True)
     return rounded(out, "MAE", "RMSE", "R2", digits=6)
 

@@ -2,6 +2,7 @@
 
 import math
 import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 import numpy as np
 import pytest
@@ -146,6 +147,26 @@ def test_moments_give_least_squares(spark):
         L.fit_linear(df.limit(0), ["a"], "y")
 
 
+def test_moments_are_exact_and_multiplied_in_lots(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "u", "v"]), rng.choice([None, 1, 2]), rng.uniform(-1e9, 1e9), rng.choice([0.0, -0.0, 1e-6, -7.5])) for _ in range(9_000)]
+    df = spark.createDataFrame([*rows, ("u", 1, None, 1.0)], "g string, h int, a double, y double").coalesce(1)
+    made = L.moments(df, ["a"], "y", ["g", "h"])
+    # a row leaves the scan once per batch and group, not as a decimal product per pair of columns
+    assert "MapInArrow" in made._jdf.queryExecution().executedPlan().toString()
+    got = {(r["g"], r["h"]): L.as_moments(r, ["a"], "y") for r in made.collect()}
+    six = Decimal("0.000001")
+    want = {}
+    with localcontext() as exact:
+        exact.prec = 60
+        for g, h, a, y in rows:
+            a, y = (Decimal(repr(v)).quantize(six, ROUND_HALF_UP) for v in (a, y))
+            n, *sums = want.get((g, h), (0, 0, 0, 0, 0, 0))
+            want[g, h] = (n + 1, *(s + v for s, v in zip(sums, (a, y, a * a, a * y, y * y))))
+    assert len(got) == 9
+    assert {k: (m.n, *m.sums, m.products[0][0], m.products[0][1], m.products[1][1]) for k, m in got.items()} == want
+
+
 @pytest.mark.parametrize("expanding", [True, False])
 def test_folds_by_algebra_equal_fits_of_their_own(spark, expanding):
     x, y = linear_rows(300, 2)
