@@ -90,6 +90,40 @@ def test_small_groups_grow_in_tasks_as_by_histograms(spark, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_bins_count_the_edges_below(spark):
+    edges = [[-1.0, 0.0, 2.5], [], [float(i) for i in range(31)]]
+    values = [None, float("nan"), -0.0, 0.0, -1.0, -0.5, 2.5, 3.0, 30.0, 31.0, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v, v, v) for v in values], "a double, b double, c double").select("*", B.binned(["a", "b", "c"], edges).alias("bins"))
+    for r in df.collect():
+        missing = r["a"] is None or math.isnan(r["a"])
+        assert r["bins"] == [None if missing else sum(r["a"] > e for e in cuts) for cuts in edges]
+    # the edges of a feature are one constant, not an expression each
+    assert df._jdf.queryExecution().optimizedPlan().toString().count(">") < 31
+
+
+def test_histograms_leave_a_task_as_sums(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "u", "v"]), rng.randrange(4, 8), f"{rng.uniform(-9e11, 9e11):.6f}", [rng.choice([None, 0, 1, 40_000]), rng.randrange(3)]) for _ in range(3_000)]
+    df = spark.createDataFrame(rows, "k0 string, node int, r string, bins array<int>").withColumn("r", F.col("r").cast(B.RESIDUAL)).coalesce(1)
+    want = {}
+    for k, node, r, bins in rows:
+        for f, b in enumerate(bins):
+            g, n = want.get((k, node, f, b), (Decimal(0), 0))
+            want[k, node, f, b] = (g + Decimal(r), n + 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 200)
+    try:
+        for most, parts in ((B.HELD_SUMS, len(want)), (50, None)):
+            monkeypatch.setattr(B, "HELD_SUMS", most)
+            made = df.mapInArrow(B._histogram(1, 2), "k0 string, node int, feature int, bin int, high bigint, low bigint, n bigint").collect()
+            got = {}
+            for r in made:
+                g, n = got.get(tuple(r[:4]), (Decimal(0), 0))
+                got[tuple(r[:4])] = (g + (r["high"] * (1 << B.LOW_BITS) + r["low"]) / Decimal(10**6), n + r["n"])
+            assert got == want and parts in (None, len(made))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_missing_values_carry_a_signal(spark):
     rng = random.Random(5)
     rows = [(i, None if i % 3 == 0 else rng.random(), rng.random(), 50.0 if i % 3 == 0 else 10.0 + rng.random()) for i in range(600)]
