@@ -113,3 +113,30 @@ def test_shuffles_follow_the_size_of_the_tables(spark, sf_dir, monkeypatch):
         monkeypatch.undo()
         Views(spark, sf_dir)
     assert spark.conf.get(session.PARTS, None) is None and spark.conf.get("spark.sql.shuffle.partitions") == str(own)
+
+
+def test_scans_of_large_tables_are_cut_small(spark, sf_dir, monkeypatch, tmp_path):
+    from larder import session
+    from larder.plans.views import Views
+
+    own = spark.conf.get(session.SPLIT)
+    for i in range(6):
+        spark.range(1_000).repartition(1).write.parquet(f"{tmp_path}/t/{i}")
+    table = lambda: spark.read.parquet(f"{tmp_path}/t/*")
+    Views(spark, sf_dir)
+    assert spark.conf.get(session.SPLIT) == own
+    monkeypatch.setattr(session, "PART_BYTES", 10_000)
+    monkeypatch.setattr(session, "TASK_FILES", 9 << 20)
+    few = "spark.sql.files.minPartitionNum"
+    spark.conf.set(few, "1")
+    try:
+        assert table().rdd.getNumPartitions() == 1
+        Views(spark, sf_dir)
+        Views(spark, sf_dir)
+        # a file counts as 4 MB more than it has, so three go together
+        assert table().rdd.getNumPartitions() == 2
+    finally:
+        spark.conf.unset(few)
+        monkeypatch.undo()
+        Views(spark, sf_dir)
+    assert spark.conf.get(session.SPLIT) == own and spark.conf.get(session.SPLIT_SIZED, None) is None
