@@ -8,7 +8,7 @@ the counts of all shorter prefixes down to the total of the language, and no oth
 A task numbers the words of some documents, shifts the numbers into lead columns and counts equal windows in sorted
 order, a bounded number of words at a time; what leaves it are windows with counts, so a frequent phrase is a few rows
 per task. They are dealt out by their first two words, so windows that share them meet: phrases of two words and more
-are summed where they lie, and ROLLUP over the pairs sums words and totals. Later tables hold phrases of at least ``least`` occurrences only. The best of a language are
+are summed where they lie, each pair once for itself and its first word, and ROLLUP over the words sums totals. Later tables hold phrases of at least ``least`` occurrences only. The best of a language are
 picked in two steps, so that no task sees more than a bounded number of rows per lot.
 
 Defined results: null texts are empty, a null language is 'und'; very long texts count whole; repeated rows count
@@ -135,14 +135,21 @@ def phrase_counts(docs: DataFrame, longest: int = 3, least: int = 1, text: str =
     dealt = counted_windows(docs, longest, text, lang).repartition("lang", head(2)).select("lang", head(2).alias("pair"), "phrase", "f")
     parts = []
     # phrases of two words and more are summed without a shuffle, as all windows that share two words lie together; the
-    # filter names the count, so it can't slip below the shuffle, which all levels read
-    for m in range(longest, 1, -1):
-        level = dealt.groupBy("lang", "pair", *([head(m).alias("phrase")] if m > 2 else [])).agg(F.sum("f").alias("f"))
-        phrase = F.col("phrase" if m > 2 else "pair")
-        frequent = level.where(F.when(F.size(F.split(phrase, " ")) == m, F.col("f")) >= least)
-        parts.append(frequent.select("lang", phrase.alias("phrase"), F.lit(m).alias("m"), "f"))
+    # filter names the count, so it can't slip below the shuffle, which all levels read, and splits only frequent phrases
+    frequent = lambda phrase, m: F.when(F.col("f") >= least, F.size(F.split(phrase, " ")) == m).otherwise(False)
+    for m in range(longest, 2, -1):
+        level = dealt.groupBy("lang", "pair", (head(m) if m < longest else F.col("phrase")).alias("phrase")).agg(F.sum("f").alias("f"))
+        parts.append(level.where(frequent("phrase", m)).select("lang", "phrase", F.lit(m).alias("m"), "f"))
+    # a pair is summed once: it counts for its first word, and by itself where it is frequent
+    pairs = dealt.groupBy("lang", "pair").agg(F.sum("f").alias("f"))
+    word = F.struct(F.substring_index("pair", " ", 1).alias("phrase"), F.lit(1).alias("m"))
+    itself = F.struct(F.col("pair").alias("phrase"), F.lit(2).alias("m"))
+    short = pairs.select("lang", "f", F.inline(F.when(frequent("pair", 2), F.array(word, itself)).otherwise(F.array(word))))
+    short = short.groupBy("lang", "phrase", "m").agg(F.sum("f").alias("f"))
+    only = lambda m: short.where(F.when(F.col("f") > 0, F.col("m") == m).otherwise(False))
+    parts.append(only(2).select("lang", "phrase", "m", "f"))
     # words, their languages and all: a rolled-up word is null
-    sums = level.select("lang", F.substring_index("pair", " ", 1).alias("w1"), "f").rollup("lang", "w1").agg(F.sum("f").alias("f"))
+    sums = only(1).select("lang", F.col("phrase").alias("w1"), "f").rollup("lang", "w1").agg(F.sum("f").alias("f"))
     known = sums.where(F.col("lang").isNotNull() & ((F.col("f") >= least) | F.col("w1").isNull()))
     parts.append(known.select("lang", F.coalesce("w1", F.lit("")).alias("phrase"), F.col("w1").isNotNull().cast("int").alias("m"), "f"))
     counts = saved(reduce(DataFrame.unionByName, parts))

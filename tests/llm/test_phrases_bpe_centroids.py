@@ -73,6 +73,21 @@ def test_collocations_of_odd_tables(spark):
     assert sorted(tuple(r) for r in collocations.collocations(docs, 3, 2, 50, 50).collect()) == sorted(want)
 
 
+def test_windows_are_read_once_for_pairs_and_words(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(collocations, "saved", lambda df: kept.append(df) or df)
+    docs = spark.createDataFrame([("a b c d. e", "x"), ("a b c", "x")], "text string, lang string")
+    counts, totals = collocations.phrase_counts(docs, 3, 2)
+    want = [("a", 1), ("a b", 2), ("a b c", 3), ("b", 1), ("b c", 2), ("c", 1)]
+    assert sorted(tuple(r) for r in counts.collect()) == [("x", phrase, m, 2) for phrase, m in want]
+    assert [tuple(r) for r in totals.collect()] == [("x", 8)]
+    kept[0].collect()
+    final = kept[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # one shuffle of windows, read for triples and once more for pairs and words together
+    reads = [line for line in final.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(reads) == 2 and sum("ReusedExchange" in line for line in reads) == 1
+
+
 def test_scores_beyond_64_bits(spark):
     counts = spark.createDataFrame(
         [("e", "a", 1, 4_000_000_000_000), ("e", "b", 1, 4_000_000_000_001), ("e", "a b", 2, 3_999_999_999_999)], "lang string, phrase string, m int, f long"
