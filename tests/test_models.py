@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from larder.operators import encode as E
 from larder.operators import metrics as M
 from larder.operators import models as D
+from larder.plans import catalog_models
 from larder.plans import forecast as B
 from larder.plans import jobs as J
 from larder.sources import sinks
-from larder.sources.tables import DEFAULT_PARAMS
+from larder.sources.tables import DEFAULT_PARAMS, with_params
 
 SMALL = {**DEFAULT_PARAMS, "n_estimators": 3, "max_depth": 3, "learning_rate": 0.5, "subsample": 1.0}
 
@@ -186,3 +187,21 @@ def test_failing_fold_is_a_row(spark):
     df = planted(spark).withColumn("fold", F.lit(0))
     got = D.cross_validate(df, {"lin": D.LINEAR}, "quantity_sold", ["row_no"], folds=[0, 1]).collect()
     assert all(r["error"] and r["MAE"] is None for r in got)  # nothing to train on, nothing to test on
+
+
+def test_every_product_gets_a_model_of_the_published_size(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(catalog_models.B, "forecast_products", lambda sales, params, *a, defaults, **kw: asked.append((params, defaults)))
+
+    class Tables:
+        canonical = spark.createDataFrame([(1, "10%")], "product_id int, discount string")
+        params = spark.createDataFrame([("a", 0.2, 8, 3), ("b", 0.3, 200, 9)], "brand string, test_size double, n_estimators int, max_depth int")
+
+        def table(self, name):
+            return spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "p_partkey int, p_brand string")
+
+    catalog_models.m4c(Tables())
+    (params, defaults), = asked
+    sizes = with_params(Tables().table("part").select(F.col("p_partkey").alias("product_id")), params, defaults=defaults)
+    got = {r["product_id"]: (r["test_size"], r["n_estimators"], r["max_depth"], r["learning_rate"]) for r in sizes.collect()}
+    assert got == {1: (0.2, 120, 5, 0.01), 2: (0.3, 200, 9, 0.01), 3: (0.1, 120, 5, 0.01)}
