@@ -205,3 +205,17 @@ def test_every_product_gets_a_model_of_the_published_size(spark, monkeypatch):
     sizes = with_params(Tables().table("part").select(F.col("p_partkey").alias("product_id")), params, defaults=defaults)
     got = {r["product_id"]: (r["test_size"], r["n_estimators"], r["max_depth"], r["learning_rate"]) for r in sizes.collect()}
     assert got == {1: (0.2, 120, 5, 0.01), 2: (0.3, 200, 9, 0.01), 3: (0.1, 120, 5, 0.01)}
+
+
+def test_waste_table_is_joined_once_for_all_that_read_it(spark):
+    day = date(2024, 1, 1)
+    sold = [(day + timedelta(days=i % 5), f"p{i % 3}", "c" if i % 7 else None, day + timedelta(days=9 + i % 2), float(i % 4) if i % 6 else None, i % 2, 0, 8, "5-LOW" if i % 3 else "1-URGENT") for i in range(60)]
+
+    class Tables:
+        sales = spark.createDataFrame(sold, "dt date, product string, category string, expiry date, quantity_sold double, event int, holiday int, shelf_life int, priority string")
+
+    made = catalog_models.waste_series(Tables())
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    want = catalog_models.waste_input(Tables()).withColumn("row_no", F.xxhash64(*catalog_models.WASTE_KEY))
+    assert rows(made) == rows(want) and made.count() > 20
