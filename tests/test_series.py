@@ -1,6 +1,8 @@
 """Series, ranks, bins and splits against pandas and brute force on small tables, hot groups included."""
 
 import random
+import tempfile
+import time
 from datetime import date, timedelta
 
 import pandas as pd
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from larder.operators import features as X
 from larder.operators import ordered as O
 from larder.operators import splits as T
+from larder.session import materialize
 
 SCHEMA = "id string, day date, tie long, x double"
 
@@ -154,3 +157,38 @@ def test_folds(spark):
     last = {b: max((r["day"], r["tie"]) for r in blocks if r["block"] == b) for b in range(4)}
     first = {b: min((r["day"], r["tie"]) for r in blocks if r["block"] == b) for b in range(4)}
     assert all(last[b] < first[b + 1] for b in range(3))
+
+
+def test_large_groups_are_split_without_a_shuffle_of_their_rows(spark):
+    rng = random.Random(8)
+    data = []
+    for i in range(900):
+        key = rng.choice(["a", "a", "a", "b", "b", "c", None])
+        day = rng.choice([None, *[date(2024, 1, 1 + k) for k in range(12)], *[date(2024, 1, 5)] * 9])
+        data.append((key, day, i % 400 if i % 9 else None, i, 0.3 if key == "a" else 0.1))
+    df = spark.createDataFrame(data, "k string, d date, t int, u int, share double")
+    want = T.tail_split(df, ["k"], ["d", "t", "u"], F.col("share"), hot_rows=None)
+    for least in (1, 50, 300):
+        got = T.tail_split(df, ["k"], ["d", "t", "u"], F.col("share"), hot_rows=least)
+        assert rows(got) == rows(want)
+    floor = {n: T.tail_split(df, ["k"], ["d", "t", "u"], 0.15, floor_train=True, hot_rows=n) for n in (None, 50)}
+    assert rows(floor[None]) == rows(floor[50])
+    df.write.mode("overwrite").parquet(at := tempfile.mkdtemp(prefix="larder-split-"))
+    cut = T.tail_split(spark.read.parquet(at).where("k = 'a'"), ["k"], ["d", "t", "u"], 0.3, hot_rows=300)
+    tree = cut._jdf.queryExecution().optimizedPlan().toString()
+    # the only windows are over the day on which the test begins and over the groups that are not large
+    assert tree.count("Window") <= 4 and "LeftAnti" in tree
+
+
+def test_written_tables_leave_no_shuffles(spark):
+    def held():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = held()
+    made = materialize(spark.range(5_000).groupBy((F.col("id") % 1_000).alias("k")).count())
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.2)
+    assert not held() - before and made.count() == 1_000
